@@ -254,3 +254,349 @@ SELECT transaction_id, product_id, customer_id, date_key, year, month, region, c
 FROM dated_lines
 WHERE region IN ('ASIA', 'EUROPE') AND year IN (2012, 2013) AND month IN (1, 2, 3, 4, 5, 6)
   AND category IN ('ECONOMY', 'PROMO', 'SMALL')""", "dated_lines")
+
+
+# ------------------------------------------------------------------ sales cleaning
+RAW_COLS = ["transaction_id", "customer_id", "product_id", "product_name", "category", "price", "quantity",
+            "discount", "date", "region"]
+FACT_COLS = ["transaction_id", "product_id", "customer_id", "date_key", "quantity", "discount", "region"]
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+NUM_RE = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
+
+
+def strip(x: str) -> str:
+    return f"trim({x}, {WS})"
+
+
+def pystr(x: str) -> str:
+    return f"coalesce({x}, 'None')"
+
+
+def in_list(x: str, values) -> str:
+    return f"coalesce({x} IN ({', '.join(repr(v) for v in values)}), false)"
+
+
+def placeholder(x: str, values) -> tuple[str, str]:
+    s = strip(pystr(x))
+    miss = in_list(s, values)
+    return f"CASE WHEN {miss} THEN 'Unknown' ELSE {s} END", miss
+
+
+def number(x: str) -> str:
+    s = strip(x)
+    return f"CASE WHEN regexp_matches({s}, {NUM_RE}) THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+def number_rule(x: str) -> tuple[str, str, str]:
+    n = number(x)
+    missing = f"({n}) IS NULL"
+    negative = f"coalesce(({n}) < 0, false)"
+    return f"CASE WHEN {missing} OR {negative} THEN 0.0 ELSE {n} END", missing, negative
+
+
+def parse_date(x: str) -> str:
+    s = strip(x)
+    fmts = ["%d-%m-%Y", "%Y/%m/%d", "%d %b %Y", "%Y-%m-%d"]
+    parts = [f"try_strptime({s}, '{f}')" for f in fmts]
+    parts.append(f"try_strptime(regexp_extract({s}, '^(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})[T ]', 1), '%Y-%m-%d')")
+    parts.append(f"try_strptime(regexp_extract({s}, '^(\\d{{4}}/\\d{{1,2}}/\\d{{1,2}})[T ]', 1), '%Y/%m/%d')")
+    for f in ["%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d %B %Y", "%b %d %Y", "%B %d %Y", "%Y%m%d"]:
+        parts.append(f"try_strptime({s}, '{f}')")
+    return f"CAST(coalesce({', '.join(parts)}) AS DATE)"
+
+
+def date_rule(x: str) -> tuple[str, str, str]:
+    missing = f"({x} IS NULL OR {strip(x)} = '')"
+    p = parse_date(x)
+    invalid = f"(NOT {missing} AND ({p}) IS NULL)"
+    key = (f"CAST(CASE WHEN {missing} OR {invalid} THEN 19900101 "
+           f"ELSE year({p}) * 10000 + month({p}) * 100 + day({p}) END AS INTEGER)")
+    return key, missing, invalid
+
+
+def cols(prefix: str = "") -> str:
+    return ", ".join(f"{prefix}{c}" for c in RAW_COLS)
+
+
+ORDER_RAW = ", ".join(f"{c} NULLS FIRST" for c in RAW_COLS)
+
+cte("raw_sales_base", """
+SELECT
+  CASE WHEN l.l_orderkey % 211 = 0 THEN NULL WHEN l.l_orderkey % 223 = 0 THEN '   '
+       ELSE ' T' || l.l_orderkey || ' ' END AS transaction_id,
+  CASE WHEN o.o_custkey % 61 = 0 THEN NULL WHEN o.o_custkey % 67 = 0 THEN 'None'
+       WHEN o.o_custkey % 71 = 0 THEN 'C_absent' ELSE 'C' || o.o_custkey END AS customer_id,
+  CASE WHEN l.l_partkey % 199 = 0 THEN '' ELSE 'P' || l.l_partkey END AS product_id,
+  CASE WHEN l.l_partkey % 97 = 0 THEN NULL ELSE p.p_name END AS product_name,
+  CASE WHEN l.l_partkey % 89 = 0 THEN 'NaN' ELSE p.p_type END AS category,
+  CASE WHEN l.l_partkey % 83 = 0 THEN 'n/a' WHEN l.l_partkey % 79 = 0 THEN '-1.50'
+       ELSE printf('%.2f', p.p_retailprice) END AS price,
+  CASE WHEN l.l_linenumber = 7 AND l.l_suppkey % 3 = 0 THEN NULL WHEN l.l_suppkey % 13 = 0 THEN '-4'
+       WHEN l.l_suppkey % 17 = 0 THEN 'two' ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+  CASE WHEN l.l_suppkey % 11 = 0 THEN NULL WHEN l.l_suppkey % 19 = 0 THEN '-0.05'
+       ELSE printf('%.2f', l.l_discount) END AS discount,
+  CASE WHEN l.l_orderkey % 101 = 0 THEN NULL WHEN l.l_orderkey % 103 = 0 THEN 'invalid_date'
+       WHEN l.l_linenumber % 4 = 0 THEN printf('%04d/%02d/%02d', year(l.l_shipdate) + 15, month(l.l_shipdate),
+                                               least(day(l.l_shipdate), 28))
+       WHEN l.l_linenumber % 4 = 1 THEN printf('%02d-%02d-%04d', least(day(l.l_shipdate), 28), month(l.l_shipdate),
+                                               year(l.l_shipdate) + 15)
+       WHEN l.l_linenumber % 4 = 2 THEN printf('%04d-%02d-%02dT00:00:00Z', year(l.l_shipdate) + 15,
+                                               month(l.l_shipdate), least(day(l.l_shipdate), 28))
+       ELSE printf('%04d-%02d-%02d', year(l.l_shipdate) + 15, month(l.l_shipdate), least(day(l.l_shipdate), 28))
+  END AS date,
+  CASE WHEN g.c_nationkey % 9 = 0 THEN NULL ELSE ' ' || g.r_name END AS region,
+  l.l_orderkey AS _orderkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN geo g ON o.o_custkey = g.c_custkey
+JOIN part p ON l.l_partkey = p.p_partkey""", "geo")
+
+cte("raw_sales", f"""
+SELECT {cols()} FROM raw_sales_base
+UNION ALL SELECT {cols()} FROM raw_sales_base WHERE _orderkey % 307 = 0""", "raw_sales_base")
+
+# Distinct raw rows with copy counts; _ord ranks rows in source (= all-column) order.
+cte("s_w1", f"""
+SELECT *, row_number() OVER (ORDER BY {ORDER_RAW}) AS _ord
+FROM (SELECT {cols()}, COUNT(*) AS _n FROM raw_sales GROUP BY ALL)""", "raw_sales")
+
+cte("s_txn", f"""
+SELECT *, {strip(pystr('transaction_id'))} AS txn FROM s_w1""", "s_w1")
+
+TXN_MISSING = "(txn = '' OR lower(txn) IN ('nan', 'none'))"
+
+cte("s_w2", f"""
+SELECT *, _ord = min(_ord) OVER (PARTITION BY txn, product_id) AS _is_first
+FROM s_txn WHERE NOT {TXN_MISSING}""", "s_txn")
+
+_c = {}
+_c["customer_id"], _c["customer_m"] = placeholder("customer_id", ["", "None", "nan"])
+_c["product_id"], _c["product_id_m"] = placeholder("product_id", ["", "None", "nan"])
+_c["product_name"], _c["product_name_m"] = placeholder("product_name", ["", "None", "nan"])
+_c["category"], _c["category_m"] = placeholder("category", ["", "None", "nan", "NaN"])
+_c["region"], _c["region_m"] = placeholder("region", ["", "None", "nan", "NaN"])
+_c["price"], _c["price_m"], _c["price_n"] = number_rule("price")
+_c["quantity"], _c["quantity_m"], _c["quantity_n"] = number_rule("quantity")
+_c["discount"], _c["discount_m"], _c["discount_n"] = number_rule("discount")
+_c["date_key"], _c["date_m"], _c["date_i"] = date_rule("date")
+
+cte("s_clean", f"""
+SELECT {cols('')}, _ord, txn AS c_transaction_id,
+  {_c['customer_id']} AS c_customer_id, {_c['product_id']} AS c_product_id,
+  {_c['product_name']} AS c_product_name, {_c['category']} AS c_category,
+  {_c['price']} AS c_price, {_c['quantity']} AS c_quantity, {_c['discount']} AS c_discount,
+  {_c['date_key']} AS c_date_key, {_c['region']} AS c_region,
+  {_c['customer_m']} AS f_customer, {_c['product_id_m']} AS f_product_id, {_c['product_name_m']} AS f_product_name,
+  {_c['category_m']} AS f_category, ({_c['price_m']} OR {_c['price_n']}) AS f_price,
+  {_c['quantity_m']} AS f_quantity_m, {_c['quantity_n']} AS f_quantity_n,
+  {_c['discount_m']} AS f_discount_m, {_c['discount_n']} AS f_discount_n,
+  {_c['date_m']} AS f_date_m, {_c['date_i']} AS f_date_i, {_c['region_m']} AS f_region
+FROM s_w2 WHERE _is_first""", "s_w2")
+
+CLEAN_OUT = ", ".join(f"c_{c} AS {c}" for c in
+                      ["transaction_id", "customer_id", "product_id", "product_name", "category", "price",
+                       "quantity", "discount", "date_key", "region"])
+
+cte("s_fact_distinct", f"""
+SELECT {', '.join(FACT_COLS)}, min(_ord) AS _ord FROM (
+  SELECT c_transaction_id AS transaction_id, c_product_id AS product_id, c_customer_id AS customer_id,
+         c_date_key AS date_key, c_quantity AS quantity, c_discount AS discount, c_region AS region, _ord
+  FROM s_clean) GROUP BY ALL""", "s_clean")
+
+cte("s_fact_flagged", """
+SELECT *, _ord = min(_ord) OVER (PARTITION BY transaction_id, product_id) AS _is_first FROM s_fact_distinct""",
+    "s_fact_distinct")
+
+cte("s_fact_typed", """
+SELECT transaction_id, product_id, customer_id, date_key, CAST(trunc(quantity) AS INTEGER) AS quantity,
+       CAST(discount AS DECIMAL(5,2)) AS discount, region
+FROM s_fact_flagged WHERE _is_first""", "s_fact_flagged")
+
+cte("s_product_extract", """
+SELECT product_id, product_name, category, price FROM (
+  SELECT c_product_id AS product_id, c_product_name AS product_name, c_category AS category, c_price AS price,
+         row_number() OVER (PARTITION BY c_product_id ORDER BY _ord) AS rn
+  FROM s_clean WHERE c_product_id <> 'Unknown') WHERE rn = 1""", "s_clean")
+
+cte("s_product_typed", """
+SELECT product_id, product_name, category, CAST(price AS DECIMAL(10,2)) AS price FROM s_product_extract""",
+    "s_product_extract")
+
+
+def raw_json(prefix: str = "") -> str:
+    return "to_json(struct_pack(" + ", ".join(f"{c} := {prefix}{c}" for c in RAW_COLS) + "))"
+
+
+def log_select(src: str, col: str, issue: str, note: str, record: str, original: str, copy: str = "1",
+               where: str = "true") -> str:
+    return f"""
+SELECT sha256(concat_ws('|', {RUN_ID}, 'python_etl', '{col}', '{issue}', {original}, CAST({copy} AS VARCHAR)))
+         AS log_id,
+       {TS_RUN} AS etl_run_id, 'python_etl' AS source_system, {record} AS record_id, '{col}' AS bad_column,
+       '{issue}' AS issue_type, {original} AS original_record, '{note.replace("'", "''")}' AS notes
+FROM {src} WHERE {where}"""
+
+
+def _log_parts() -> str:
+    from ..constants import ISSUES
+    parts = []
+    c, i, n = ISSUES["duplicate_full_row"]
+    parts.append(log_select("(SELECT *, unnest(generate_series(2, _n)) AS _copy FROM s_w1 WHERE _n > 1)",
+                            c, i, n, "transaction_id", raw_json(), "_copy"))
+    c, i, n = ISSUES["txn_missing"]
+    parts.append(log_select("s_txn", c, i, n, "txn", raw_json(), where=TXN_MISSING))
+    c, i, n = ISSUES["txn_product_dup"]
+    parts.append(log_select("s_w2", c, i, n, "txn", raw_json(), where="NOT _is_first"))
+    for key, flag in [("customer_missing", "f_customer"), ("product_id_missing", "f_product_id"),
+                      ("product_name_missing", "f_product_name"), ("category_missing", "f_category"),
+                      ("price_invalid", "f_price"), ("quantity_invalid", "(f_quantity_m OR f_quantity_n)"),
+                      ("discount_invalid", "(f_discount_m OR f_discount_n)"), ("date_missing", "f_date_m"),
+                      ("date_invalid", "f_date_i"), ("region_missing", "f_region")]:
+        c, i, n = ISSUES[key]
+        parts.append(log_select("s_clean", c, i, n, "c_transaction_id", raw_json(), where=flag))
+    c, i, n = ISSUES["fact_key_dup"]
+    fact_json = "to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in FACT_COLS) + "))"
+    parts.append(log_select("s_fact_flagged", c, i, n, "transaction_id", fact_json, where="NOT _is_first"))
+    return "\nUNION ALL".join(parts)
+
+
+cte("s_log", _log_parts(), "s_w1", "s_txn", "s_w2", "s_clean", "s_fact_flagged")
+
+RAW_SEL = ", ".join(RAW_COLS)
+
+
+def _raw_with(col: str, *exprs: str) -> str:
+    out = []
+    for c in RAW_COLS:
+        out.extend(exprs if c == col else [c])
+    return ", ".join(out)
+
+
+ORACLE["clean_transaction_id"] = sql(f"""
+SELECT {_raw_with('transaction_id', 'txn AS transaction_id')}
+FROM (SELECT *, {strip(pystr('transaction_id'))} AS txn FROM raw_sales) WHERE NOT {TXN_MISSING}""", "raw_sales")
+
+for _col, _vals in [("customer_id", ["", "None", "nan"]), ("product_id", ["", "None", "nan"]),
+                    ("product_name", ["", "None", "nan"]), ("category", ["", "None", "nan", "NaN"]),
+                    ("region", ["", "None", "nan", "NaN"])]:
+    _v, _m = placeholder(_col, _vals)
+    ORACLE[f"clean_{_col}"] = sql(f"SELECT {_raw_with(_col, f'{_v} AS {_col}', f'{_m} AS {_col}_missing')} "
+                                  f"FROM raw_sales", "raw_sales")
+
+for _col in ["price", "quantity", "discount"]:
+    _v, _m, _n = number_rule(_col)
+    ORACLE[f"clean_{_col}"] = sql(
+        f"SELECT {_raw_with(_col, f'{_v} AS {_col}', f'{_m} AS {_col}_missing', f'{_n} AS {_col}_negative')} "
+        f"FROM raw_sales", "raw_sales")
+
+_k, _m, _i = date_rule("date")
+ORACLE["clean_date"] = sql(
+    f"SELECT {_raw_with('date', f'{_k} AS date_key', f'{_m} AS date_missing', f'{_i} AS date_invalid')} "
+    f"FROM raw_sales", "raw_sales")
+
+ORACLE["dedup_full_row"] = sql(f"SELECT {RAW_SEL} FROM s_w1", "s_w1")
+ORACLE["dedup_full_row_rejects"] = sql(f"""
+SELECT {RAW_SEL}, CAST(unnest(generate_series(2, _n)) AS INTEGER) AS copy_no FROM s_w1 WHERE _n > 1""", "s_w1")
+ORACLE["dedup_txn_product"] = sql(f"SELECT {_raw_with('transaction_id', 'txn AS transaction_id')} "
+                                  f"FROM s_w2 WHERE _is_first", "s_w2")
+ORACLE["dedup_txn_product_rejects"] = sql(f"SELECT {_raw_with('transaction_id', 'txn AS transaction_id')} "
+                                          f"FROM s_w2 WHERE NOT _is_first", "s_w2")
+ORACLE["sales_clean"] = sql(f"SELECT {CLEAN_OUT} FROM s_clean", "s_clean")
+ORACLE["fact_distinct"] = sql(f"SELECT {', '.join(FACT_COLS)} FROM s_fact_distinct", "s_fact_distinct")
+ORACLE["fact_dedup_key"] = sql(f"SELECT {', '.join(FACT_COLS)} FROM s_fact_flagged WHERE _is_first",
+                               "s_fact_flagged")
+ORACLE["fact_cast"] = sql("SELECT * FROM s_fact_typed", "s_fact_typed")
+ORACLE["product_extract"] = sql("SELECT * FROM s_product_extract", "s_product_extract")
+ORACLE["product_cast"] = sql("SELECT * FROM s_product_typed", "s_product_typed")
+ORACLE["bad_data_log"] = sql("SELECT * FROM s_log", "s_log")
+ORACLE["bad_data_summary"] = sql("""
+SELECT etl_run_id, source_system, bad_column, issue_type, COUNT(*) AS n_rows FROM s_log
+GROUP BY etl_run_id, source_system, bad_column, issue_type""", "s_log")
+
+ORACLE["run_metrics"] = sql("""
+SELECT
+  (SELECT CAST(SUM(_n) AS BIGINT) FROM s_w1) AS rows_in,
+  (SELECT CAST(SUM(_n - 1) AS BIGINT) FROM s_w1) AS full_row_duplicates,
+  (SELECT COUNT(*) FROM s_txn WHERE (txn = '' OR lower(txn) IN ('nan', 'none'))) AS missing_transaction_id,
+  (SELECT COUNT(*) FROM s_w2 WHERE NOT _is_first) AS duplicate_transaction_product,
+  (SELECT COUNT(*) FROM s_clean) AS rows_clean,
+  (SELECT COUNT(*) FILTER (WHERE f_customer) FROM s_clean) AS customer_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_product_id) FROM s_clean) AS product_id_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_product_name) FROM s_clean) AS product_name_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_category) FROM s_clean) AS category_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_price) FROM s_clean) AS price_invalid,
+  (SELECT COUNT(*) FILTER (WHERE f_quantity_m) FROM s_clean) AS quantity_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_quantity_n) FROM s_clean) AS quantity_negative,
+  (SELECT COUNT(*) FILTER (WHERE f_discount_m) FROM s_clean) AS discount_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_discount_n) FROM s_clean) AS discount_negative,
+  (SELECT COUNT(*) FILTER (WHERE f_date_m) FROM s_clean) AS date_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_date_i) FROM s_clean) AS date_invalid,
+  (SELECT COUNT(*) FILTER (WHERE f_region) FROM s_clean) AS region_missing,
+  (SELECT COUNT(*) FILTER (WHERE c_region = 'Unknown') FROM s_clean) AS region_unknown_total,
+  (SELECT COUNT(*) FILTER (WHERE c_customer_id = 'Unknown') FROM s_clean) AS customer_unknown_total,
+  (SELECT COUNT(*) FILTER (WHERE NOT _is_first) FROM s_fact_flagged) AS duplicate_fact_key,
+  (SELECT COUNT(*) FILTER (WHERE _is_first) FROM s_fact_flagged) AS fact_rows""",
+                            "s_w1", "s_txn", "s_w2", "s_clean", "s_fact_flagged")
+
+# ------------------------------------------------------------------ loads
+cte("existing_fact", f"""
+SELECT *, {TS_EXISTING} AS created_at FROM fact_base
+WHERE TRY_CAST(substr(transaction_id, 2) AS BIGINT) % 3 = 0""", "fact_base")
+
+cte("existing_product", """
+SELECT product_id, product_name, category,
+       CASE WHEN TRY_CAST(substr(product_id, 2) AS BIGINT) % 5 = 0 THEN CAST(1 AS DECIMAL(10,2)) ELSE price END
+         AS price, created_at, updated_at
+FROM dim_product
+WHERE TRY_CAST(substr(product_id, 2) AS BIGINT) IS NULL OR TRY_CAST(substr(product_id, 2) AS BIGINT) % 7 <> 0""",
+    "dim_product")
+
+cte("s_fact_fk", """
+SELECT f.transaction_id, f.product_id,
+       CASE WHEN d.customer_id IS NULL THEN 'Unknown' ELSE f.customer_id END AS customer_id,
+       f.date_key, f.quantity, f.discount, f.region
+FROM s_fact_typed f LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customer) d ON f.customer_id = d.customer_id""",
+    "s_fact_typed", "dim_customer")
+
+cte("s_fact_new", f"""
+SELECT f.*, {TS_RUN} AS created_at FROM s_fact_fk f
+WHERE NOT EXISTS (SELECT 1 FROM existing_fact e
+                  WHERE e.transaction_id = f.transaction_id AND e.product_id = f.product_id)""",
+    "s_fact_fk", "existing_fact")
+
+ORACLE["fact_customer_fk"] = sql("SELECT * FROM s_fact_fk", "s_fact_fk")
+ORACLE["fact_insert_new"] = sql("SELECT * FROM s_fact_new", "s_fact_new")
+ORACLE["fact_rerun_idempotent"] = sql("""
+SELECT (SELECT COUNT(*) FROM s_fact_new) AS first_run_inserted,
+       (SELECT COUNT(*) FROM s_fact_fk f WHERE NOT EXISTS (
+          SELECT 1 FROM (SELECT transaction_id, product_id FROM existing_fact
+                         UNION ALL SELECT transaction_id, product_id FROM s_fact_new) e
+          WHERE e.transaction_id = f.transaction_id AND e.product_id = f.product_id)) AS second_run_inserted,
+       (SELECT COUNT(*) FROM existing_fact) + (SELECT COUNT(*) FROM s_fact_new) AS rows_after""",
+                                      "s_fact_new", "s_fact_fk", "existing_fact")
+ORACLE["audit_columns"] = sql("SELECT created_at, COUNT(*) AS n_rows FROM s_fact_new GROUP BY created_at",
+                              "s_fact_new")
+
+ORACLE["product_new"] = sql(f"""
+SELECT s.*, {TS_RUN} AS created_at, {TS_RUN} AS updated_at FROM s_product_typed s
+WHERE NOT EXISTS (SELECT 1 FROM existing_product e WHERE e.product_id = s.product_id)""",
+                            "s_product_typed", "existing_product")
+
+PRODUCT_DIFF = ("(s.product_name IS DISTINCT FROM e.product_name OR s.category IS DISTINCT FROM e.category "
+                "OR s.price IS DISTINCT FROM e.price)")
+ORACLE["product_changed"] = sql(f"""
+SELECT s.product_id, s.product_name, s.category, s.price
+FROM s_product_typed s JOIN existing_product e ON s.product_id = e.product_id WHERE {PRODUCT_DIFF}""",
+                                "s_product_typed", "existing_product")
+
+ORACLE["product_upsert"] = sql(f"""
+SELECT coalesce(e.product_id, s.product_id) AS product_id,
+       CASE WHEN s.product_id IS NOT NULL AND (e.product_id IS NULL OR {PRODUCT_DIFF}) THEN s.product_name
+            ELSE e.product_name END AS product_name,
+       CASE WHEN s.product_id IS NOT NULL AND (e.product_id IS NULL OR {PRODUCT_DIFF}) THEN s.category
+            ELSE e.category END AS category,
+       CASE WHEN s.product_id IS NOT NULL AND (e.product_id IS NULL OR {PRODUCT_DIFF}) THEN s.price
+            ELSE e.price END AS price,
+       CASE WHEN e.product_id IS NOT NULL THEN e.created_at ELSE {TS_RUN} END AS created_at,
+       CASE WHEN s.product_id IS NOT NULL AND (e.product_id IS NULL OR {PRODUCT_DIFF}) THEN {TS_RUN}
+            ELSE e.updated_at END AS updated_at
+FROM existing_product e FULL OUTER JOIN s_product_typed s ON e.product_id = s.product_id""",
+                               "existing_product", "s_product_typed")

@@ -136,3 +136,194 @@ def dash_filtered(spark, sf):
     return M.filtered_sales(*_star(spark, sf), D.vw_dim_date(D.dim_date(spark)),
                             years=SLICER_YEARS, months=SLICER_MONTHS, regions=SLICER_REGIONS,
                             categories=SLICER_CATEGORIES)
+
+
+# ---------------------------------------------------------------- sales cleaning (C1-C13, W1-W5, B*, A17)
+from pyspark.sql import functions as F  # noqa: E402
+
+from .. import constants as K  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import sales as SL  # noqa: E402
+from ..operators import upsert as U  # noqa: E402
+from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS  # noqa: E402
+
+
+def sales_run(spark, sf) -> SL.SalesRun:
+    return SL.SalesRun(X.raw_sales(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS))
+
+
+def _raw_with(spark, sf, col: str, *exprs) -> DataFrame:
+    """raw_sales with one column replaced by the given expression(s) (a rule applied alone)."""
+    raw = X.raw_sales(spark, sf)
+    out = []
+    for c in RAW_SALES_COLUMNS:
+        out.extend(exprs if c == col else [F.col(c)])
+    return raw.select(*out)
+
+
+@query("clean_transaction_id")
+def clean_txn(spark, sf):
+    raw = X.raw_sales(spark, sf)
+    txn = SL.clean_txn(F.col("transaction_id"))
+    return (raw.withColumn("transaction_id", txn).filter(~SL.txn_missing(F.col("transaction_id"))))
+
+
+def _placeholder_query(col: str, placeholders):
+    def fn(spark, sf):
+        cleaned, missing = SL.placeholder_rule(F.col(col), placeholders)
+        return _raw_with(spark, sf, col, cleaned.alias(col), missing.alias(f"{col}_missing"))
+    return fn
+
+
+query("clean_customer_id")(_placeholder_query("customer_id", K.CUSTOMER_PLACEHOLDERS))
+query("clean_product_id")(_placeholder_query("product_id", K.PRODUCT_ID_PLACEHOLDERS))
+query("clean_product_name")(_placeholder_query("product_name", K.PRODUCT_NAME_PLACEHOLDERS))
+query("clean_category")(_placeholder_query("category", K.CATEGORY_PLACEHOLDERS))
+query("clean_region")(_placeholder_query("region", K.REGION_PLACEHOLDERS))
+
+
+def _number_query(col: str):
+    def fn(spark, sf):
+        cleaned, missing, negative = SL.number_rule(F.col(col))
+        return _raw_with(spark, sf, col, cleaned.alias(col), missing.alias(f"{col}_missing"),
+                         negative.alias(f"{col}_negative"))
+    return fn
+
+
+query("clean_price")(_number_query("price"))
+query("clean_quantity")(_number_query("quantity"))
+query("clean_discount")(_number_query("discount"))
+
+
+@query("clean_date")
+def clean_date(spark, sf):
+    key, missing, invalid = SL.date_rule(F.col("date"))
+    return _raw_with(spark, sf, "date", key.alias("date_key"), missing.alias("date_missing"),
+                     invalid.alias("date_invalid"))
+
+
+@query("dedup_full_row")
+def dedup_full_row(spark, sf):
+    return sales_run(spark, sf).full_row_survivors.select(*RAW_SALES_COLUMNS)
+
+
+@query("dedup_full_row_rejects")
+def dedup_full_row_rejects(spark, sf):
+    return sales_run(spark, sf).full_row_rejects.select(*RAW_SALES_COLUMNS, F.col("_copy").alias("copy_no"))
+
+
+@query("dedup_txn_product")
+def dedup_txn_product(spark, sf):
+    return sales_run(spark, sf).pair_survivors.select(*RAW_SALES_COLUMNS)
+
+
+@query("dedup_txn_product_rejects")
+def dedup_txn_product_rejects(spark, sf):
+    return sales_run(spark, sf).pair_rejects.select(*RAW_SALES_COLUMNS)
+
+
+@query("sales_clean")
+def sales_clean(spark, sf):
+    return sales_run(spark, sf).clean_rows
+
+
+@query("fact_distinct")
+def fact_distinct(spark, sf):
+    return sales_run(spark, sf).fact_distinct.select(*FACT_COLUMNS)
+
+
+@query("fact_dedup_key")
+def fact_dedup_key(spark, sf):
+    return sales_run(spark, sf).fact_deduped.select(*FACT_COLUMNS)
+
+
+@query("fact_cast")
+def fact_cast(spark, sf):
+    return sales_run(spark, sf).fact_typed.select(*FACT_COLUMNS)
+
+
+@query("product_extract")
+def product_extract(spark, sf):
+    return sales_run(spark, sf).product_extract
+
+
+@query("product_cast")
+def product_cast(spark, sf):
+    return sales_run(spark, sf).product_typed
+
+
+@query("bad_data_log")
+def bad_data_log(spark, sf):
+    return sales_run(spark, sf).bad_data_log
+
+
+@query("bad_data_summary")
+def bad_data_summary(spark, sf):
+    return Q.summary(sales_run(spark, sf).bad_data_log)
+
+
+@query("run_metrics")
+def run_metrics(spark, sf):
+    return sales_run(spark, sf).metrics
+
+
+# ---------------------------------------------------------------- loads
+def _fact_resolved(spark, sf):
+    run = sales_run(spark, sf)
+    return U.resolve_customer(run.fact_typed.select(*FACT_COLUMNS), X.dim_customer(spark, sf))
+
+
+@query("fact_customer_fk")
+def fact_customer_fk(spark, sf):
+    return _fact_resolved(spark, sf).select(*FACT_COLUMNS)
+
+
+@query("fact_insert_new")
+def fact_insert_new(spark, sf):
+    fact = _fact_resolved(spark, sf).select(*FACT_COLUMNS)
+    return U.insert_only(fact, X.existing_fact_sales(spark, sf), ["transaction_id", "product_id"],
+                         X.ts_lit(X.RUN_TS))
+
+
+@query("fact_rerun_idempotent")
+def fact_rerun_idempotent(spark, sf):
+    """Load twice: the second run finds every key loaded and inserts nothing."""
+    keys = ["transaction_id", "product_id"]
+    fact = _fact_resolved(spark, sf).select(*FACT_COLUMNS)
+    target = X.existing_fact_sales(spark, sf)
+    first = U.insert_only(fact, target, keys, X.ts_lit(X.RUN_TS))
+    after = target.unionByName(first)
+    second = U.insert_only(fact, after, keys, X.ts_lit(X.RUN_TS))
+    return Q.fold_rows(first.agg(F.count(F.lit(1)).alias("first_run_inserted")),
+                       second.agg(F.count(F.lit(1)).alias("second_run_inserted")),
+                       after.agg(F.count(F.lit(1)).alias("rows_after")))
+
+
+PRODUCT_COMPARE = ["product_name", "category", "price"]
+
+
+@query("product_new")
+def product_new(spark, sf):
+    src = sales_run(spark, sf).product_typed
+    ts = X.ts_lit(X.RUN_TS)
+    return (U.new_rows(src, X.existing_dim_product(spark, sf), ["product_id"])
+            .withColumn("created_at", ts).withColumn("updated_at", ts))
+
+
+@query("product_changed")
+def product_changed(spark, sf):
+    return U.changed_rows(sales_run(spark, sf).product_typed, X.existing_dim_product(spark, sf),
+                          "product_id", PRODUCT_COMPARE)
+
+
+@query("product_upsert")
+def product_upsert(spark, sf):
+    return U.merge(X.existing_dim_product(spark, sf), sales_run(spark, sf).product_typed,
+                   "product_id", PRODUCT_COMPARE, X.ts_lit(X.RUN_TS))
+
+
+@query("audit_columns")
+def audit_columns(spark, sf):
+    """K4: audit timestamps on the rows a load inserts (run timestamp passed in)."""
+    fact = fact_insert_new(spark, sf)
+    return fact.groupBy("created_at").agg(F.count(F.lit(1)).alias("n_rows"))
