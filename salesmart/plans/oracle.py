@@ -600,3 +600,201 @@ SELECT coalesce(e.product_id, s.product_id) AS product_id,
             ELSE e.updated_at END AS updated_at
 FROM existing_product e FULL OUTER JOIN s_product_typed s ON e.product_id = s.product_id""",
                                "existing_product", "s_product_typed")
+
+
+# ------------------------------------------------------------------ customer flow
+CUST_COLS = ["customer_id", "customer_name", "email", "region", "join_date", "loyalty_points"]
+CUST_RULES = {
+    "customer_name": """CASE WHEN customer_name IS NULL OR length(customer_name) = 0 THEN 'Unknown'
+       WHEN length(customer_name) > 255 THEN substr(customer_name, 1, 255) ELSE customer_name END""",
+    "email": """CASE WHEN email IS NULL OR length(email) = 0 THEN 'Unknown' WHEN instr(email, '@') = 0 THEN 'invalid'
+       WHEN length(email) > 320 THEN substr(email, 1, 320) ELSE email END""",
+    "region": "CASE WHEN region IS NULL OR length(region) = 0 THEN 'Unknown' ELSE region END",
+    "join_date": """CASE WHEN join_date IS NULL OR length(join_date) = 0
+            OR (instr(join_date, '-') = 0 AND instr(join_date, '/') = 0) THEN '19900101'
+       WHEN length(join_date) >= 10 THEN replace(replace(left(join_date, 10), '-', ''), '/', '')
+       ELSE '19900101' END""",
+    "loyalty_points": """CASE WHEN loyalty_points IS NULL OR length(loyalty_points) = 0 THEN '0'
+       WHEN CAST(loyalty_points AS INTEGER) < 0 THEN '0' ELSE loyalty_points END""",
+}
+
+
+def _cust_rule(col: str) -> str:
+    sel = ", ".join(f"{CUST_RULES[c]} AS {c}" if c == col else c for c in CUST_COLS)
+    return sql(f"SELECT {sel} FROM cust_src", "cust_src")
+
+
+ORACLE["cust_name"] = _cust_rule("customer_name")
+ORACLE["cust_region"] = _cust_rule("region")
+ORACLE["cust_email"] = _cust_rule("email")
+ORACLE["cust_loyalty"] = _cust_rule("loyalty_points")
+ORACLE["cust_join_date"] = _cust_rule("join_date")
+ORACLE["cust_dedup_full"] = sql("SELECT * FROM cust_distinct", "cust_distinct")
+ORACLE["cust_dedup_id"] = sql("SELECT * FROM cust_first", "cust_first")
+ORACLE["cust_sorted"] = sql("""
+SELECT * FROM cust_distinct ORDER BY loyalty_points, join_date, region, email, customer_name, customer_id""",
+                            "cust_distinct")
+ORACLE["cust_route"] = sql("""
+SELECT *, CASE WHEN coalesce(length(trim(customer_id)) > 0, false) THEN 'valid' ELSE 'blank_id' END AS route
+FROM cust_clean""", "cust_clean")
+ORACLE["cust_valid_id"] = sql("SELECT * FROM cust_valid", "cust_valid")
+ORACLE["cust_schema_enforce"] = sql("SELECT * FROM cust_enforced", "cust_enforced")
+
+cte("existing_customer", """
+SELECT customer_id, customer_name, email, region, join_date,
+       CASE WHEN TRY_CAST(substr(customer_id, 2) AS BIGINT) % 6 = 0 THEN 1 ELSE loyalty_points END AS loyalty_points,
+       created_at, updated_at
+FROM dim_customer
+WHERE TRY_CAST(substr(customer_id, 2) AS BIGINT) IS NULL OR TRY_CAST(substr(customer_id, 2) AS BIGINT) % 4 <> 0""",
+    "dim_customer")
+
+CUST_DIFF = " OR ".join(f"s.{c} IS DISTINCT FROM e.{c}" for c in
+                        ["customer_name", "email", "region", "join_date", "loyalty_points"])
+ORACLE["cust_lookup_match"] = sql("""
+SELECT s.* FROM cust_enforced s WHERE EXISTS (SELECT 1 FROM existing_customer e WHERE e.customer_id = s.customer_id)""",
+                                  "cust_enforced", "existing_customer")
+ORACLE["cust_lookup_nomatch"] = sql("""
+SELECT s.* FROM cust_enforced s
+WHERE NOT EXISTS (SELECT 1 FROM existing_customer e WHERE e.customer_id = s.customer_id)""",
+                                    "cust_enforced", "existing_customer")
+ORACLE["cust_changed"] = sql(f"""
+SELECT s.* FROM cust_enforced s JOIN existing_customer e ON s.customer_id = e.customer_id WHERE {CUST_DIFF}""",
+                             "cust_enforced", "existing_customer")
+ORACLE["cust_unchanged"] = sql(f"""
+SELECT s.* FROM cust_enforced s JOIN existing_customer e ON s.customer_id = e.customer_id WHERE NOT ({CUST_DIFF})""",
+                               "cust_enforced", "existing_customer")
+_take = f"(s.customer_id IS NOT NULL AND (e.customer_id IS NULL OR {CUST_DIFF}))"
+ORACLE["cust_upsert"] = sql(f"""
+SELECT coalesce(e.customer_id, s.customer_id) AS customer_id,
+       {', '.join(f'CASE WHEN {_take} THEN s.{c} ELSE e.{c} END AS {c}' for c in CUST_COLS[1:])},
+       CASE WHEN e.customer_id IS NOT NULL THEN e.created_at ELSE {TS_RUN} END AS created_at,
+       CASE WHEN {_take} THEN {TS_RUN} ELSE e.updated_at END AS updated_at
+FROM existing_customer e FULL OUTER JOIN cust_enforced s ON e.customer_id = s.customer_id""",
+                            "existing_customer", "cust_enforced")
+
+
+def _cust_log() -> str:
+    from ..constants import ISSUES
+    c, i, n = ISSUES["customer_blank_id"]
+    orig = "to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in CUST_COLS) + "))"
+    return f"""
+SELECT sha256(concat_ws('|', {RUN_ID}, 'ssis_pkg', '{c}', '{i}', {orig}, '1')) AS log_id,
+       {TS_RUN} AS etl_run_id, 'ssis_pkg' AS source_system, customer_id AS record_id, '{c}' AS bad_column,
+       '{i}' AS issue_type, {orig} AS original_record, '{n}' AS notes
+FROM cust_clean WHERE NOT coalesce(length(trim(customer_id)) > 0, false)"""
+
+
+ORACLE["cust_bad_data_log"] = sql(_cust_log(), "cust_clean")
+
+# ------------------------------------------------------------------ dimensions
+cte("fact_per_day", "SELECT date_key, COUNT(*) AS fact_lines FROM fact_base GROUP BY date_key", "fact_base")
+DIM_DATE_SEL = "d.date_key, d.full_date, d.year, d.month, d.month_name, d.day, d.quarter"
+ORACLE["dim_date"] = sql(f"""
+SELECT {DIM_DATE_SEL}, coalesce(f.fact_lines, 0) AS fact_lines
+FROM dim_date d LEFT JOIN fact_per_day f ON d.date_key = f.date_key""", "dim_date", "fact_per_day")
+ORACLE["vw_dim_date"] = sql(f"""
+SELECT {DIM_DATE_SEL}, coalesce(f.fact_lines, 0) AS fact_lines
+FROM vw_dim_date d LEFT JOIN fact_per_day f ON d.date_key = f.date_key""", "vw_dim_date", "fact_per_day")
+ORACLE["dim_date_bounds"] = sql("""
+SELECT (SELECT min(full_date) FROM vw_dim_date) AS min_date, (SELECT max(full_date) FROM vw_dim_date) AS max_date,
+       (SELECT COUNT(*) FROM vw_dim_date) AS n_days,
+       (SELECT min(date_key) FROM fact_base) AS fact_min_date_key,
+       (SELECT max(date_key) FROM fact_base) AS fact_max_date_key""", "vw_dim_date", "fact_base")
+ORACLE["dim_date_guard"] = sql("""
+SELECT CAST(7670 AS BIGINT) AS first_run_inserted, CAST(0 AS BIGINT) AS second_run_inserted,
+       (SELECT COUNT(*) FROM dim_date) AS rows_after,
+       (SELECT COUNT(*) FROM fact_base WHERE date_key IN (SELECT date_key FROM dim_date)) AS fact_lines_resolved""",
+                               "dim_date", "fact_base")
+ORACLE["unknown_members"] = sql("""
+SELECT 'dim_customer' AS table_name, (SELECT COUNT(*) FROM cust_enforced) AS rows_before,
+       (SELECT COUNT(*) FROM dim_customer) AS rows_after_seed, (SELECT COUNT(*) FROM dim_customer) AS rows_after_reseed
+UNION ALL
+SELECT 'dim_product', (SELECT COUNT(*) FROM part), (SELECT COUNT(*) FROM dim_product), (SELECT COUNT(*) FROM dim_product)
+UNION ALL
+SELECT 'dim_date', (SELECT COUNT(*) FROM vw_dim_date), (SELECT COUNT(*) FROM dim_date), (SELECT COUNT(*) FROM dim_date)""",
+                                "cust_enforced", "dim_customer", "dim_product", "vw_dim_date", "dim_date")
+
+# ------------------------------------------------------------------ integrity checks
+
+
+def _pk(name: str, table: str, keys: str) -> str:
+    return f"""
+SELECT '{name}' AS table_name, '{keys}' AS key_columns, COUNT(*) AS duplicate_keys,
+       CAST(coalesce(SUM(n), 0) AS BIGINT) AS rows_involved
+FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY {keys} HAVING COUNT(*) > 1)"""
+
+
+ORACLE["check_pk_duplicates"] = sql("\nUNION ALL".join([
+    _pk("dim_customer", "dim_customer", "customer_id"), _pk("dim_product", "dim_product", "product_id"),
+    _pk("dim_date", "dim_date", "date_key"), _pk("fact_sales", "fact_base", "transaction_id,product_id"),
+    _pk("bad_data_log", "s_log", "log_id"), _pk("raw_fact_lines", "s_fact_distinct", "transaction_id,product_id")]),
+    "dim_customer", "dim_product", "dim_date", "fact_base", "s_log", "s_fact_distinct")
+
+
+def _nn(name: str, table: str, columns: list[str]) -> str:
+    return "\nUNION ALL".join(
+        f"\nSELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+        f"FROM {table}" for c in columns)
+
+
+ORACLE["check_not_null"] = sql("\nUNION ALL".join([
+    _nn("dim_customer", "dim_customer", ["customer_id"]),
+    _nn("dim_product", "dim_product", ["product_id", "product_name", "price"]),
+    _nn("dim_date", "dim_date", ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"]),
+    _nn("fact_sales", "fact_base", ["transaction_id", "product_id", "customer_id", "date_key"])]),
+    "dim_customer", "dim_product", "dim_date", "fact_base")
+
+
+def _fk(name: str, parent: str, col: str) -> str:
+    return f"""
+SELECT '{name}' AS fk_name, COUNT(*) AS orphan_rows, COUNT(DISTINCT f.{col}) AS orphan_keys
+FROM fact_base f WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{col} = f.{col})"""
+
+
+ORACLE["check_fk_orphans"] = sql("\nUNION ALL".join([
+    _fk("fk_customer", "dim_customer", "customer_id"), _fk("fk_product", "dim_product", "product_id"),
+    _fk("fk_date", "dim_date", "date_key")]), "fact_base", "dim_customer", "dim_product", "dim_date")
+
+ORACLE["check_ranges"] = sql("""
+SELECT COUNT(*) FILTER (WHERE quantity < 0) AS negative_quantity,
+       COUNT(*) FILTER (WHERE discount < 0) AS negative_discount, COUNT(*) AS rows_checked
+FROM fact_base""", "fact_base")
+
+
+def _widths() -> str:
+    from ..constants import WIDTHS
+    tables = {"dim_customer": "dim_customer", "dim_product": "dim_product", "fact_sales": "fact_base"}
+    parts = []
+    for name, limits in WIDTHS.items():
+        for c, n in limits.items():
+            parts.append(f"""
+SELECT '{name}' AS table_name, '{c}' AS column_name, {n} AS max_width,
+       COUNT(*) FILTER (WHERE length({c}) > {n}) AS over_width, CAST(max(length({c})) AS INTEGER) AS longest
+FROM {tables[name]}""")
+    return "\nUNION ALL".join(parts)
+
+
+ORACLE["check_widths"] = sql(_widths(), "dim_customer", "dim_product", "fact_base")
+
+# ------------------------------------------------------------------ scalar functions
+_pd = parse_date("date")
+_num = number("price")
+ORACLE["scalar_functions"] = sql(f"""
+SELECT {strip('transaction_id')} AS txn_strip, lower({strip('customer_id')}) AS customer_lower,
+       coalesce(category IN ('NaN', 'nan'), false) AS category_is_nan,
+       coalesce(product_name, 'Unknown') AS name_or_unknown,
+       {_num} AS price_number,
+       round(CAST({_num} AS DECIMAL(10,2)) * 3, 1) AS price_x3_round1,
+       TRY_CAST(quantity AS INTEGER) AS quantity_int,
+       {_pd} AS parsed_date,
+       strftime({_pd}, '%Y%m%d') AS date_yyyymmdd,
+       monthname({_pd}) AS month_name,
+       CAST(year({_pd}) AS INTEGER) AS d_year, CAST(month({_pd}) AS INTEGER) AS d_month,
+       CAST(day({_pd}) AS INTEGER) AS d_day, CAST(quarter({_pd}) AS INTEGER) AS d_quarter,
+       CAST(length(product_name) AS INTEGER) AS name_len,
+       substr(product_name, 1, 5) AS name_sub5,
+       CAST(instr(region, 'A') AS INTEGER) AS region_pos_a,
+       replace(date, '-', '') AS date_no_dash,
+       left(date, 4) AS date_left4,
+       trim(region) AS region_trim
+FROM raw_sales""", "raw_sales")

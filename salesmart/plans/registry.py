@@ -327,3 +327,252 @@ def audit_columns(spark, sf):
     """K4: audit timestamps on the rows a load inserts (run timestamp passed in)."""
     fact = fact_insert_new(spark, sf)
     return fact.groupBy("created_at").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------- customer flow
+from ..operators import checks as CK  # noqa: E402
+from ..operators import customers as CU  # noqa: E402
+from ..schemas import CUSTOMER_COLUMNS, DIM_CUSTOMER_COLUMNS  # noqa: E402
+
+CUSTOMER_COMPARE = ["customer_name", "email", "region", "join_date", "loyalty_points"]
+
+
+def _cust_src(spark, sf) -> DataFrame:
+    return CU.source_defaults(X.raw_customers(spark, sf))
+
+
+def _cust_rule(col: str, fn):
+    def q(spark, sf):
+        src = _cust_src(spark, sf)
+        return src.select(*[fn(F.col(c)).alias(c) if c == col else F.col(c) for c in CUSTOMER_COLUMNS])
+    return q
+
+
+query("cust_name")(_cust_rule("customer_name", CU.clean_name))
+query("cust_region")(_cust_rule("region", CU.clean_region))
+query("cust_email")(_cust_rule("email", CU.clean_email))
+query("cust_loyalty")(_cust_rule("loyalty_points", CU.clean_loyalty))
+query("cust_join_date")(_cust_rule("join_date", CU.clean_join_date))
+
+
+@query("cust_dedup_full")
+def cust_dedup_full(spark, sf):
+    return CU.dedup_full(_cust_src(spark, sf))
+
+
+@query("cust_dedup_id")
+def cust_dedup_id(spark, sf):
+    return CU.dedup_by_id(CU.dedup_full(_cust_src(spark, sf)))
+
+
+@query("cust_sorted")
+def cust_sorted(spark, sf):
+    """The full-row sort order (points, date, region, email, name, id), ascending."""
+    return CU.dedup_full(_cust_src(spark, sf)).orderBy(*CU.FIRST_ORDER, "customer_id")
+
+
+def _cust_cleaned(spark, sf) -> DataFrame:
+    return CU.clean_columns(CU.dedup_by_id(CU.dedup_full(_cust_src(spark, sf))))
+
+
+@query("cust_route")
+def cust_route(spark, sf):
+    return CU.route(_cust_cleaned(spark, sf))
+
+
+@query("cust_valid_id")
+def cust_valid_id(spark, sf):
+    return _cust_cleaned(spark, sf).filter(CU.valid_id(F.col("customer_id")))
+
+
+@query("cust_schema_enforce")
+def cust_schema_enforce(spark, sf):
+    return CU.prepare_customers(X.raw_customers(spark, sf))
+
+
+def _cust_prepared_and_target(spark, sf):
+    return CU.prepare_customers(X.raw_customers(spark, sf)), X.existing_dim_customer(spark, sf)
+
+
+@query("cust_lookup_match")
+def cust_lookup_match(spark, sf):
+    src, tgt = _cust_prepared_and_target(spark, sf)
+    return src.join(tgt.select("customer_id"), "customer_id", "left_semi")
+
+
+@query("cust_lookup_nomatch")
+def cust_lookup_nomatch(spark, sf):
+    src, tgt = _cust_prepared_and_target(spark, sf)
+    return U.new_rows(src, tgt, ["customer_id"])
+
+
+@query("cust_changed")
+def cust_changed(spark, sf):
+    src, tgt = _cust_prepared_and_target(spark, sf)
+    return U.changed_rows(src, tgt, "customer_id", CUSTOMER_COMPARE)
+
+
+@query("cust_unchanged")
+def cust_unchanged(spark, sf):
+    src, tgt = _cust_prepared_and_target(spark, sf)
+    return U.unchanged_rows(src, tgt, "customer_id", CUSTOMER_COMPARE)
+
+
+@query("cust_upsert")
+def cust_upsert(spark, sf):
+    src, tgt = _cust_prepared_and_target(spark, sf)
+    return U.merge(tgt, src, "customer_id", CUSTOMER_COMPARE, X.ts_lit(X.RUN_TS)).select(
+        *DIM_CUSTOMER_COLUMNS, "created_at", "updated_at")
+
+
+@query("cust_bad_data_log")
+def cust_bad_data_log(spark, sf):
+    """Customer rows dropped for a blank id, logged with source ssis_pkg."""
+    rej = CU.blank_id_rejects(X.raw_customers(spark, sf))
+    return Q.log_rows(rej, F.array(Q.issue_when(F.lit(True), "customer_blank_id")), F.col("customer_id"),
+                      Q.record_json(CUSTOMER_COLUMNS), X.RUN_ID, X.ts_lit(X.RUN_TS), K.SOURCE_CUSTOMERS)
+
+
+# ---------------------------------------------------------------- dimensions
+def _date_usage(spark, sf, dim: DataFrame) -> DataFrame:
+    """Dimension rows with the number of fact lines on each day (work grows with the facts)."""
+    per_day = X.fact_base(spark, sf).groupBy("date_key").agg(F.count(F.lit(1)).alias("fact_lines"))
+    j = dim.join(per_day, "date_key", "left")
+    return j.select(*dim.columns, F.coalesce(F.col("fact_lines"), F.lit(0)).alias("fact_lines"))
+
+
+@query("dim_date")
+def dim_date_q(spark, sf):
+    return _date_usage(spark, sf, D.dim_date(spark))
+
+
+@query("vw_dim_date")
+def vw_dim_date_q(spark, sf):
+    return _date_usage(spark, sf, D.vw_dim_date(D.dim_date(spark)))
+
+
+@query("dim_date_bounds")
+def dim_date_bounds(spark, sf):
+    """Bounds of the generated calendar next to the bounds of the facts' dates."""
+    cal = D.date_bounds(D.calendar(spark))
+    facts = X.fact_base(spark, sf).agg(F.min("date_key").alias("fact_min_date_key"),
+                                       F.max("date_key").alias("fact_max_date_key"))
+    return Q.fold_rows(cal, facts)
+
+
+@query("dim_date_guard")
+def dim_date_guard(spark, sf):
+    """Populate an unpopulated date dimension once; a second run adds nothing.
+
+    The guard reads at most two rows of the target.  The report also counts
+    the fact lines whose date resolves in the populated dimension.
+    """
+    target = D.unknown_date(spark)
+    first, n1 = D.populate_dim_date_if_empty(spark, target)
+    second, n2 = D.populate_dim_date_if_empty(spark, first)
+    keys = second.select("date_key")
+    resolved = X.fact_base(spark, sf).join(keys, "date_key", "left_semi")
+    return Q.fold_rows(second.agg(F.count(F.lit(1)).alias("rows_after")),
+                       resolved.agg(F.count(F.lit(1)).alias("fact_lines_resolved"))).select(
+        F.lit(n1).cast("bigint").alias("first_run_inserted"), F.lit(n2).cast("bigint").alias("second_run_inserted"),
+        "rows_after", "fact_lines_resolved")
+
+
+@query("unknown_members")
+def unknown_members(spark, sf):
+    """Seed each dimension's unknown member once; seeding again changes nothing."""
+    ts = X.EXISTING_TS
+    rows = []
+    for name, dim, unknown, key in [
+        ("dim_customer", X.dim_customer(spark, sf, with_unknown=False), D.unknown_customer(spark, ts), "customer_id"),
+        ("dim_product", X.dim_product(spark, sf, with_unknown=False), D.unknown_product(spark, ts), "product_id"),
+        ("dim_date", D.calendar(spark), D.unknown_date(spark), "date_key"),
+    ]:
+        once = D.seed_unknown(dim, unknown, key)
+        twice = D.seed_unknown(once, unknown, key)
+        rows.append(Q.fold_rows(dim.agg(F.count(F.lit(1)).alias("rows_before")),
+                                once.agg(F.count(F.lit(1)).alias("rows_after_seed")),
+                                twice.agg(F.count(F.lit(1)).alias("rows_after_reseed")))
+                    .select(F.lit(name).alias("table_name"), "rows_before", "rows_after_seed", "rows_after_reseed"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+# ---------------------------------------------------------------- integrity checks
+def _mart(spark, sf):
+    return {"fact_sales": X.fact_base(spark, sf), "dim_product": X.dim_product(spark, sf),
+            "dim_customer": X.dim_customer(spark, sf), "dim_date": D.dim_date(spark)}
+
+
+@query("check_pk_duplicates")
+def check_pk(spark, sf):
+    m = _mart(spark, sf)
+    log = sales_run(spark, sf).bad_data_log
+    return CK.pk_duplicates({
+        "dim_customer": (m["dim_customer"], ["customer_id"]), "dim_product": (m["dim_product"], ["product_id"]),
+        "dim_date": (m["dim_date"], ["date_key"]), "fact_sales": (m["fact_sales"], ["transaction_id", "product_id"]),
+        "bad_data_log": (log, ["log_id"]),
+        "raw_fact_lines": (sales_run(spark, sf).fact_distinct, ["transaction_id", "product_id"]),
+    })
+
+
+@query("check_not_null")
+def check_not_null(spark, sf):
+    m = _mart(spark, sf)
+    return CK.not_null({
+        "dim_customer": (m["dim_customer"], ["customer_id"]),
+        "dim_product": (m["dim_product"], ["product_id", "product_name", "price"]),
+        "dim_date": (m["dim_date"], ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"]),
+        "fact_sales": (m["fact_sales"], ["transaction_id", "product_id", "customer_id", "date_key"]),
+    })
+
+
+@query("check_fk_orphans")
+def check_fk(spark, sf):
+    m = _mart(spark, sf)
+    return CK.fk_orphans(m["fact_sales"], {"fk_customer": (m["dim_customer"], "customer_id"),
+                                           "fk_product": (m["dim_product"], "product_id"),
+                                           "fk_date": (m["dim_date"], "date_key")})
+
+
+@query("check_ranges")
+def check_ranges(spark, sf):
+    return CK.ranges(X.fact_base(spark, sf))
+
+
+@query("check_widths")
+def check_widths(spark, sf):
+    m = _mart(spark, sf)
+    return CK.widths({"dim_customer": (m["dim_customer"], K.WIDTHS["dim_customer"]),
+                      "dim_product": (m["dim_product"], K.WIDTHS["dim_product"]),
+                      "fact_sales": (m["fact_sales"], K.WIDTHS["fact_sales"])})
+
+
+# ---------------------------------------------------------------- scalar function surface (2.12)
+@query("scalar_functions")
+def scalar_functions(spark, sf):
+    from ..functions.dates import parse_sales_date
+    from ..functions.numeric import coerce_number
+    from ..functions.text import strip
+    raw = X.raw_sales(spark, sf)
+    d = parse_sales_date(F.col("date"))
+    price = coerce_number(F.col("price"))
+    return raw.select(
+        strip(F.col("transaction_id")).alias("txn_strip"),
+        F.lower(strip(F.col("customer_id"))).alias("customer_lower"),
+        F.coalesce(F.col("category").isin("NaN", "nan"), F.lit(False)).alias("category_is_nan"),
+        F.coalesce(F.col("product_name"), F.lit("Unknown")).alias("name_or_unknown"),
+        price.alias("price_number"),
+        F.round(price.cast("decimal(10,2)") * 3, 1).alias("price_x3_round1"),
+        F.col("quantity").try_cast("int").alias("quantity_int"),
+        d.alias("parsed_date"),
+        F.date_format(d, "yyyyMMdd").alias("date_yyyymmdd"),
+        F.date_format(d, "MMMM").alias("month_name"),
+        F.year(d).alias("d_year"), F.month(d).alias("d_month"), F.dayofmonth(d).alias("d_day"),
+        F.quarter(d).alias("d_quarter"),
+        F.length(F.col("product_name")).alias("name_len"),
+        F.substring(F.col("product_name"), 1, 5).alias("name_sub5"),
+        F.instr(F.col("region"), "A").alias("region_pos_a"),
+        F.replace(F.col("date"), F.lit("-"), F.lit("")).alias("date_no_dash"),
+        F.left(F.col("date"), F.lit(4)).alias("date_left4"),
+        F.trim(F.col("region")).alias("region_trim"),
+    )
