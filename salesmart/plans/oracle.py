@@ -798,3 +798,14 @@ SELECT {strip('transaction_id')} AS txn_strip, lower({strip('customer_id')}) AS
        left(date, 4) AS date_left4,
        trim(region) AS region_trim
 FROM raw_sales""", "raw_sales")
+
+
+# ------------------------------------------------------------------ sources and streaming
+ORACLE["src_sales_json"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
+ORACLE["src_flatten_product"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
+ORACLE["src_ordinal"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
+ORACLE["src_preview"] = sql(f"SELECT {cols()} FROM raw_sales ORDER BY {ORDER_RAW} LIMIT 10", "raw_sales")
+ORACLE["src_customers_json"] = sql("SELECT * FROM cust_src", "cust_src")
+ORACLE["src_target_projection"] = sql("SELECT product_id, price FROM dim_product", "dim_product")
+ORACLE["stream_incremental_load"] = sql("""
+SELECT * FROM existing_fact UNION ALL SELECT * FROM s_fact_new""", "existing_fact", "s_fact_new")

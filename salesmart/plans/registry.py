@@ -576,3 +576,65 @@ def scalar_functions(spark, sf):
         F.left(F.col("date"), F.lit(4)).alias("date_left4"),
         F.trim(F.col("region")).alias("region_trim"),
     )
+
+
+# ---------------------------------------------------------------- sources (S1-S7) and streaming
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as SF  # noqa: E402
+
+
+def _n_files(df: DataFrame, rows_per_file: int = 20_000) -> int:
+    """Number of array files for a write: the row count over a bounded file size."""
+    return max(1, -(-df.count() // rows_per_file))
+
+
+@query("src_sales_json")
+def src_sales_json(spark, sf):
+    nested = X.raw_sales_nested(spark, sf)
+    path = SF.write_json_arrays(nested, scratch_path(spark, "sales_json"), _n_files(nested))
+    return SL.flatten_product(SF.read_sales_json(spark, path))
+
+
+@query("src_flatten_product")
+def src_flatten_product(spark, sf):
+    return SL.flatten_product(X.raw_sales_nested(spark, sf))
+
+
+@query("src_ordinal")
+def src_ordinal(spark, sf):
+    nested = X.raw_sales_nested(spark, sf)
+    path = SF.write_json_arrays(nested, scratch_path(spark, "sales_json"), _n_files(nested))
+    return SL.flatten_product(SF.read_sales_with_ordinal(spark, path)).select(*RAW_SALES_COLUMNS)
+
+
+@query("src_preview")
+def src_preview(spark, sf):
+    return SF.preview(SL.with_order(X.raw_sales(spark, sf))).select(*RAW_SALES_COLUMNS)
+
+
+@query("src_customers_json")
+def src_customers_json(spark, sf):
+    raw = X.raw_customers(spark, sf).withColumn("loyalty_points", F.col("loyalty_points").cast("bigint"))
+    path = SF.write_json_arrays(raw, scratch_path(spark, "customers_json"), _n_files(raw))
+    return CU.source_defaults(SF.read_customers_json(spark, path))
+
+
+@query("src_target_projection")
+def src_target_projection(spark, sf):
+    path = scratch_path(spark, "dim_product")
+    X.dim_product(spark, sf).write.parquet(path)
+    return spark.read.parquet(path).select("product_id", "price")
+
+
+@query("stream_incremental_load")
+def stream_incremental_load(spark, sf):
+    """Arriving sales files streamed into the fact table; result = the table after the stream."""
+    from ..streaming.incremental import start_incremental_load
+    nested = X.raw_sales_nested(spark, sf)
+    inbox = SF.write_json_arrays(nested, scratch_path(spark, "inbox"), 4, key="transaction_id")
+    target = scratch_path(spark, "fact_sales")
+    X.existing_fact_sales(spark, sf).write.parquet(target)
+    q = start_incremental_load(spark, inbox, target, scratch_path(spark, "stream_ckpt"),
+                               X.dim_customer(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS))
+    q.awaitTermination()
+    return spark.read.parquet(target)
