@@ -64,15 +64,6 @@ DIM_DATE_START = _dt.date(2010, 1, 1)
 DIM_DATE_END = _dt.date(2030, 12, 31)
 VIEW_DATE_FROM = _dt.date(2010, 1, 1)
 
-# ---------------------------------------------------------------------------
-# Date formats tried in order (Spark datetime patterns).
-# day-month-year with dashes, year/month/day, "day Mon year", ISO date.
-# ---------------------------------------------------------------------------
-DATE_PATTERNS = ("d-M-yyyy", "yyyy/M/d", "d MMM yyyy", "yyyy-M-d")
-# Fallbacks of the general parser, tried after the four above.
-DATE_FALLBACK_PATTERNS = ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy",
-                          "yyyyMMdd")
-
 # ---------------------------------------------------------------------------
 # Column widths of the target tables.
 # ---------------------------------------------------------------------------

@@ -1,33 +1,55 @@
-"""Date parsing: a fixed list of formats, then a general fallback."""
+"""Date parsing: a fixed list of formats, then a general fallback.
+
+Each format is tried only on strings of its shape (a cheap regex test):
+a failed ``try_to_timestamp`` costs an exception inside the JVM, so letting
+every row try every format would dominate the cleaning pass.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..constants import DATE_FALLBACK_PATTERNS, DATE_PATTERNS
 from .text import strip
 
-# Leading date part of a date-time string, for the general fallback.
-_ISO_DATETIME = r"^(\d{4}-\d{1,2}-\d{1,2})[T ]"
-_SLASH_DATETIME = r"^(\d{4}/\d{1,2}/\d{1,2})[T ]"
-
-
-def _try(c: Column, pattern: str) -> Column:
-    return F.to_date(F.try_to_timestamp(c, F.lit(pattern)))
+D12 = r"\d{1,2}"
+WORD = r"[A-Za-z]+"
+
+# Formats tried in order, each with the shape a value must have to be tried.
+# day-month-year with dashes, year/month/day, "day Mon year", ISO date.
+PRIMARY_FORMATS = (
+    ("d-M-yyyy", rf"^{D12}-{D12}-\d{{4}}$"),
+    ("yyyy/M/d", rf"^\d{{4}}/{D12}/{D12}$"),
+    ("d MMM yyyy", rf"^{D12} {WORD} \d{{4}}$"),
+    ("yyyy-M-d", rf"^\d{{4}}-{D12}-{D12}$"),
+)
+# Fallbacks of the general parser, tried after the four above.
+FALLBACK_FORMATS = (
+    ("M/d/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
+    ("d/M/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
+    ("M-d-yyyy", rf"^{D12}-{D12}-\d{{4}}$"),
+    ("d MMMM yyyy", rf"^{D12} {WORD} \d{{4}}$"),
+    ("MMM d yyyy", rf"^{WORD} {D12} \d{{4}}$"),
+    ("MMMM d yyyy", rf"^{WORD} {D12} \d{{4}}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
+)
+# Leading date part of a date-time string (time and zone are ignored, never converted).
+ISO_DATETIME = rf"^(\d{{4}}-{D12}-{D12})[T ]"
+SLASH_DATETIME = rf"^(\d{{4}}/{D12}/{D12})[T ]"
+
+
+def _try(c: Column, pattern: str, shape: str) -> Column:
+    return F.when(c.rlike(shape), F.to_date(F.try_to_timestamp(c, F.lit(pattern))))
 
 
 def parse_sales_date(c: Column) -> Column:
-    """Parse a raw date string to a ``date``; null when nothing matches.
-
-    The fixed formats are tried first in their order.  The fallback parses
-    the leading date of a date-time value (time and zone are ignored, never
-    converted), then a few more layouts.
-    """
+    """Parse a raw date string to a ``date``; null when nothing matches."""
     s = strip(c)
-    tries = [_try(s, p) for p in DATE_PATTERNS]
-    tries.append(_try(F.regexp_extract(s, _ISO_DATETIME, 1), "yyyy-M-d"))
-    tries.append(_try(F.regexp_extract(s, _SLASH_DATETIME, 1), "yyyy/M/d"))
-    tries.extend(_try(s, p) for p in DATE_FALLBACK_PATTERNS)
+    tries = [_try(s, p, shape) for p, shape in PRIMARY_FORMATS]
+    iso = F.regexp_extract(s, ISO_DATETIME, 1)
+    tries.append(F.when(iso != "", F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-M-d")))))
+    slash = F.regexp_extract(s, SLASH_DATETIME, 1)
+    tries.append(F.when(slash != "", F.to_date(F.try_to_timestamp(slash, F.lit("yyyy/M/d")))))
+    tries.extend(_try(s, p, shape) for p, shape in FALLBACK_FORMATS)
     return F.coalesce(*tries)
 
 

@@ -15,14 +15,32 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def estimated_size(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` in bytes (no job is run)."""
+    """Size estimate of ``df`` in bytes from the optimized plan's statistics (no job is run).
+
+    Without cost-based statistics Catalyst multiplies the sizes of a join's
+    inputs, which wildly overstates a dimension joined to its lookups.  The
+    estimate used here is the smaller of that and the sum of the plan's leaf
+    relations: a chain of many-to-one lookups never outgrows its inputs, and a
+    filter or projection only shrinks them.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
+        whole = int(plan.stats().sizeInBytes().toString())
+        leaves = plan.collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            total += int(leaves.apply(i).stats().sizeInBytes().toString())
+        return min(whole, total) if _only_lookups(plan) else whole
     except Exception:  # pragma: no cover - estimate unavailable
         return None
 
 
+def _only_lookups(plan) -> bool:
+    """True when every join in the plan is an inner/left/semi/anti equi-join (no cross or outer fan-out)."""
+    text = plan.toString()
+    return "Cross" not in text and "FullOuter" not in text and "RightOuter" not in text
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     size = estimated_size(df)
     return size is not None and size <= limit

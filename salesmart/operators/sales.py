@@ -81,17 +81,31 @@ def date_rule(raw: Column) -> tuple[Column, Column, Column]:
 
 
 class SalesRun:
-    """Lazy stages of one sales load.  ``raw`` has the flat raw columns (all strings)."""
-
-    def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None):
-        self.raw = with_order(raw.select(*RAW, *([ORD] if ORD in raw.columns else [])), order_cols)
+    """Lazy stages of one sales load.  ``raw`` has the flat raw columns (all strings).
+
+    Without an ``_ord`` column the source order is the row's own columns; the
+    full-row dedup then needs no order aggregate and stays a hash aggregate.
+    With ``materialize=True`` the annotated frame (all distinct rows with every
+    flag) is checkpointed once to the shared checkpoint folder, so the log,
+    the counters and the load read it instead of recomputing the passes.
+    """
+
+    def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None, materialize: bool = False):
+        if ORD in raw.columns:
+            self.own_order, self.raw = False, raw.select(*RAW, ORD)
+        elif order_cols is None:
+            self.own_order, self.raw = True, raw.select(*RAW)
+        else:
+            self.own_order, self.raw = False, with_order(raw.select(*RAW), order_cols)
         self.run_id = run_id
         self.run_ts = run_ts
+        self.materialize = materialize
 
     # ---- W1
     @cached_property
     def full_row_groups(self) -> DataFrame:
-        return DD.count_copies(self.raw, RAW)
+        g = DD.count_copies(self.raw, RAW)
+        return with_order(g) if self.own_order else g
 
     @cached_property
     def full_row_survivors(self) -> DataFrame:
@@ -101,37 +115,28 @@ class SalesRun:
     def full_row_rejects(self) -> DataFrame:
         return DD.extra_copies(self.full_row_groups, RAW)
 
-    # ---- C1
+    # ---- C1 + W2 + C2-C10 on every distinct row, in one frame
     @cached_property
-    def with_txn(self) -> DataFrame:
-        df = self.full_row_survivors.select(F.struct(*RAW).alias("_raw"), ORD, *RAW)
+    def annotated(self) -> DataFrame:
+        df = self.full_row_groups.select(F.struct(*RAW).alias("_raw"), ORD, "_n", *RAW)
         txn = clean_txn(F.col("_raw.transaction_id"))
-        return df.withColumn("transaction_id", txn).withColumn("_txn_missing", txn_missing(txn))
-
-    @cached_property
-    def txn_dropped(self) -> DataFrame:
-        return self.with_txn.filter("_txn_missing")
-
-    @cached_property
-    def txn_kept(self) -> DataFrame:
-        return self.with_txn.filter(~F.col("_txn_missing")).drop("_txn_missing")
-
-    # ---- W2 (pair of cleaned transaction id and raw product id)
-    @cached_property
-    def pair_flagged(self) -> DataFrame:
-        return DD.flag_first(self.txn_kept, ["transaction_id", "product_id"])
-
-    @cached_property
-    def pair_survivors(self) -> DataFrame:
-        return self.pair_flagged.filter("_is_first").drop("_is_first")
-
-    @cached_property
-    def pair_rejects(self) -> DataFrame:
-        return self.pair_flagged.filter(~F.col("_is_first")).drop("_is_first")
-
-    # ---- C2-C10 in one projection
-    @cached_property
-    def cleaned(self) -> DataFrame:
+        df = df.withColumn("transaction_id", txn).withColumn("_txn_missing", txn_missing(txn))
+        # First position per (cleaned transaction id, raw product id) among rows with an id.
+        # The pair's raw row count (``_pair_rows``) keeps ``_n`` alive on this side too, so both
+        # join sides share one full-row aggregate and Spark reuses its exchange.
+        firsts = (df.filter(~F.col("_txn_missing")).groupBy("transaction_id", "product_id")
+                  .agg(F.min(ORD).alias("_first"), F.sum("_n").alias("_pair_rows")))
+        right = firsts.select(F.col("transaction_id").alias("_k0"), F.col("product_id").alias("_k1"), "_first",
+                              "_pair_rows")
+        cond = (df["transaction_id"] == right["_k0"]) & df["product_id"].eqNullSafe(right["_k1"])
+        j = df.join(right, cond, "left")
+        j = j.withColumn("_is_first", ~F.col("_txn_missing") & F.coalesce(F.col(ORD) == F.col("_first"),
+                                                                          F.lit(False)))
+        out = self._with_rules(j.drop("_k0", "_k1", "_first", "_pair_rows"))
+        return out.checkpoint(eager=True) if self.materialize else out
+
+    @staticmethod
+    def _with_rules(df: DataFrame) -> DataFrame:
         r = lambda c: F.col(f"_raw.{c}")
         cust, cust_m = placeholder_rule(r("customer_id"), K.CUSTOMER_PLACEHOLDERS)
         pid, pid_m = placeholder_rule(r("product_id"), K.PRODUCT_ID_PLACEHOLDERS)
@@ -149,12 +154,34 @@ class SalesRun:
                          disc_m.alias("discount_missing"), disc_n.alias("discount_negative"),
                          date_m.alias("date_missing"), date_i.alias("date_invalid"),
                          region_m.alias("region_missing"))
-        return self.pair_survivors.select(
-            "_raw", ORD, "transaction_id",
+        return df.select(
+            "_raw", ORD, "_n", "_txn_missing", "_is_first", "transaction_id",
             cust.alias("customer_id"), pid.alias("product_id"), pname.alias("product_name"),
             cat.alias("category"), price.alias("price"), qty.alias("quantity"), disc.alias("discount"),
             dkey.alias("date_key"), region.alias("region"), flags.alias("_flags"))
 
+    @cached_property
+    def with_txn(self) -> DataFrame:
+        return self.annotated
+
+    @cached_property
+    def txn_dropped(self) -> DataFrame:
+        return self.annotated.filter("_txn_missing")
+
+    @cached_property
+    def pair_survivors(self) -> DataFrame:
+        return self.annotated.filter("_is_first").select(
+            "_raw", ORD, "transaction_id", *[F.col(f"_raw.{c}").alias(c) for c in RAW[1:]])
+
+    @cached_property
+    def pair_rejects(self) -> DataFrame:
+        return self.annotated.filter(~F.col("_txn_missing") & ~F.col("_is_first")).select(
+            "_raw", ORD, "transaction_id", *[F.col(f"_raw.{c}").alias(c) for c in RAW[1:]])
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return self.annotated.filter("_is_first").drop("_n", "_txn_missing", "_is_first")
+
     @cached_property
     def clean_rows(self) -> DataFrame:
         """Cleaned rows without bookkeeping columns."""
@@ -211,50 +238,50 @@ class SalesRun:
 
     @cached_property
     def bad_data_log(self) -> DataFrame:
+        """All log rows of the run: full-row copies, then one pass for C1, W2 and every column rule."""
         raw_json = F.to_json(F.col("_raw"), {"ignoreNullFields": "false"})
-        rej = self.full_row_rejects
-        w1 = self._log(rej, F.array(issue_when(F.lit(True), "duplicate_full_row")),
+        w1 = self._log(self.full_row_rejects, F.array(issue_when(F.lit(True), "duplicate_full_row")),
                        F.col("transaction_id"), record_json(RAW), F.col("_copy"))
-        c1 = self._log(self.txn_dropped, F.array(issue_when(F.lit(True), "txn_missing")),
-                       F.col("transaction_id"), raw_json)
-        w2 = self._log(self.pair_rejects, F.array(issue_when(F.lit(True), "txn_product_dup")),
-                       F.col("transaction_id"), raw_json)
         f = F.col("_flags")
+        first = F.col("_is_first")
         rules = F.array(
-            issue_when(f.customer_missing, "customer_missing"),
-            issue_when(f.product_id_missing, "product_id_missing"),
-            issue_when(f.product_name_missing, "product_name_missing"),
-            issue_when(f.category_missing, "category_missing"),
-            issue_when(f.price_invalid, "price_invalid"),
-            issue_when(f.quantity_missing | f.quantity_negative, "quantity_invalid"),
-            issue_when(f.discount_missing | f.discount_negative, "discount_invalid"),
-            issue_when(f.date_missing, "date_missing"),
-            issue_when(f.date_invalid, "date_invalid"),
-            issue_when(f.region_missing, "region_missing"),
+            issue_when(F.col("_txn_missing"), "txn_missing"),
+            issue_when(~F.col("_txn_missing") & ~first, "txn_product_dup"),
+            issue_when(first & f.customer_missing, "customer_missing"),
+            issue_when(first & f.product_id_missing, "product_id_missing"),
+            issue_when(first & f.product_name_missing, "product_name_missing"),
+            issue_when(first & f.category_missing, "category_missing"),
+            issue_when(first & f.price_invalid, "price_invalid"),
+            issue_when(first & (f.quantity_missing | f.quantity_negative), "quantity_invalid"),
+            issue_when(first & (f.discount_missing | f.discount_negative), "discount_invalid"),
+            issue_when(first & f.date_missing, "date_missing"),
+            issue_when(first & f.date_invalid, "date_invalid"),
+            issue_when(first & f.region_missing, "region_missing"),
         )
-        cols = self._log(self.cleaned, rules, F.col("transaction_id"), raw_json)
+        rows = self._log(self.annotated, rules, F.col("transaction_id"), raw_json)
         w3 = self._log(self.fact_key_rejects, F.array(issue_when(F.lit(True), "fact_key_dup")),
                        F.col("transaction_id"), record_json(FACT_COLUMNS))
-        return w1.unionByName(c1).unionByName(w2).unionByName(cols).unionByName(w3)
+        return w1.unionByName(rows).unionByName(w3)
 
     # ---- counters
     @cached_property
     def metrics(self) -> DataFrame:
         from .quality import fold_rows
-        g = self.full_row_groups.agg(F.sum("_n").alias("rows_in"),
-                                     F.sum(F.col("_n") - 1).alias("full_row_duplicates"))
-        t = self.with_txn.agg(F.count_if("_txn_missing").alias("missing_transaction_id"))
-        p = self.pair_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_transaction_product"))
+        a = self.annotated
         f = F.col("_flags")
-        c = self.cleaned.agg(
-            F.count(F.lit(1)).alias("rows_clean"),
-            *[F.count_if(getattr(f, n)).alias(n) for n in
+        first = F.col("_is_first")
+        one = a.agg(
+            F.sum("_n").alias("rows_in"), F.sum(F.col("_n") - 1).alias("full_row_duplicates"),
+            F.count_if("_txn_missing").alias("missing_transaction_id"),
+            F.count_if(~F.col("_txn_missing") & ~first).alias("duplicate_transaction_product"),
+            F.count_if(first).alias("rows_clean"),
+            *[F.count_if(first & getattr(f, n)).alias(n) for n in
               ("customer_missing", "product_id_missing", "product_name_missing", "category_missing",
                "price_invalid", "quantity_missing", "quantity_negative", "discount_missing",
                "discount_negative", "date_missing", "date_invalid", "region_missing")],
-            F.count_if(F.col("region") == K.UNKNOWN).alias("region_unknown_total"),
-            F.count_if(F.col("customer_id") == K.UNKNOWN).alias("customer_unknown_total"))
+            F.count_if(first & (F.col("region") == K.UNKNOWN)).alias("region_unknown_total"),
+            F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total"))
         k = self.fact_key_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"),
                                       F.count_if("_is_first").alias("fact_rows"))
-        row = fold_rows(g, t, p, c, k)
+        row = fold_rows(one, k)
         return row.select(*[F.col(x).cast("bigint").alias(x) for x in row.columns])

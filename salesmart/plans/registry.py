@@ -148,8 +148,9 @@ from ..operators import upsert as U  # noqa: E402
 from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS  # noqa: E402
 
 
-def sales_run(spark, sf) -> SL.SalesRun:
-    return SL.SalesRun(X.raw_sales(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS))
+def sales_run(spark, sf, materialize: bool = False) -> SL.SalesRun:
+    """One sales load over the dirty fixture; ``materialize`` checkpoints the annotated rows once."""
+    return SL.SalesRun(X.raw_sales(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS), materialize=materialize)
 
 
 def _raw_with(spark, sf, col: str, *exprs) -> DataFrame:
@@ -254,17 +255,17 @@ def product_cast(spark, sf):
 
 @query("bad_data_log")
 def bad_data_log(spark, sf):
-    return sales_run(spark, sf).bad_data_log
+    return sales_run(spark, sf, materialize=True).bad_data_log
 
 
 @query("bad_data_summary")
 def bad_data_summary(spark, sf):
-    return Q.summary(sales_run(spark, sf).bad_data_log)
+    return Q.summary(sales_run(spark, sf, materialize=True).bad_data_log)
 
 
 @query("run_metrics")
 def run_metrics(spark, sf):
-    return sales_run(spark, sf).metrics
+    return sales_run(spark, sf, materialize=True).metrics
 
 
 # ---------------------------------------------------------------- loads
@@ -506,12 +507,13 @@ def _mart(spark, sf):
 @query("check_pk_duplicates")
 def check_pk(spark, sf):
     m = _mart(spark, sf)
-    log = sales_run(spark, sf).bad_data_log
+    run = sales_run(spark, sf, materialize=True)
+    log = run.bad_data_log
     return CK.pk_duplicates({
         "dim_customer": (m["dim_customer"], ["customer_id"]), "dim_product": (m["dim_product"], ["product_id"]),
         "dim_date": (m["dim_date"], ["date_key"]), "fact_sales": (m["fact_sales"], ["transaction_id", "product_id"]),
         "bad_data_log": (log, ["log_id"]),
-        "raw_fact_lines": (sales_run(spark, sf).fact_distinct, ["transaction_id", "product_id"]),
+        "raw_fact_lines": (run.fact_distinct, ["transaction_id", "product_id"]),
     })
 
 
