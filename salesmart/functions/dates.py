@@ -41,16 +41,41 @@ def _try(c: Column, pattern: str, shape: str) -> Column:
     return F.when(c.rlike(shape), F.to_date(F.try_to_timestamp(c, F.lit(pattern))))
 
 
+def _as_iso(c: Column, shape: str, to_iso: str | None) -> Column:
+    """A numeric layout rewritten to ``yyyy-M-d`` with one regex, then read by ``try_cast``.
+
+    ``try_cast(string as date)`` validates the calendar day without raising,
+    so a failed attempt costs no exception; the shape test keeps values of
+    other layouts (and bare years) away from it.
+    """
+    iso = c if to_iso is None else F.regexp_replace(c, shape, to_iso)
+    return F.when(c.rlike(shape), iso.try_cast("date"))
+
+
+# The numeric layouts of the formats above, and their rewrite to year-month-day.
+DMY_DASH = (rf"^({D12})-({D12})-(\d{{4}})$", "$3-$2-$1")
+YMD_SLASH = (rf"^(\d{{4}})/({D12})/({D12})$", "$1-$2-$3")
+YMD_DASH = (rf"^\d{{4}}-{D12}-{D12}$", None)
+ISO_PREFIX = (rf"^(\d{{4}})-({D12})-({D12})[T ].*$", "$1-$2-$3")
+SLASH_PREFIX = (rf"^(\d{{4}})/({D12})/({D12})[T ].*$", "$1-$2-$3")
+
+
 def parse_sales_date(c: Column) -> Column:
-    """Parse a raw date string to a ``date``; null when nothing matches."""
+    """Parse a raw date string to a ``date``; null when nothing matches.
+
+    Numeric layouts go through ``try_cast``; month-name layouts and the
+    remaining fallbacks use Spark's parser, but only for strings of their shape.
+    """
     s = strip(c)
-    tries = [_try(s, p, shape) for p, shape in PRIMARY_FORMATS]
-    iso = F.regexp_extract(s, ISO_DATETIME, 1)
-    tries.append(F.when(iso != "", F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-M-d")))))
-    slash = F.regexp_extract(s, SLASH_DATETIME, 1)
-    tries.append(F.when(slash != "", F.to_date(F.try_to_timestamp(slash, F.lit("yyyy/M/d")))))
-    tries.extend(_try(s, p, shape) for p, shape in FALLBACK_FORMATS)
-    return F.coalesce(*tries)
+    return F.coalesce(
+        _as_iso(s, *DMY_DASH),
+        _as_iso(s, *YMD_SLASH),
+        _try(s, *PRIMARY_FORMATS[2]),
+        _as_iso(s, *YMD_DASH),
+        _as_iso(s, *ISO_PREFIX),
+        _as_iso(s, *SLASH_PREFIX),
+        *[_try(s, p, shape) for p, shape in FALLBACK_FORMATS],
+    )
 
 
 def date_key_of(d: Column) -> Column:

@@ -71,10 +71,22 @@ def number_rule(raw: Column) -> tuple[Column, Column, Column]:
     return F.when(missing | negative, F.lit(0.0)).otherwise(n), missing, negative
 
 
-def date_rule(raw: Column) -> tuple[Column, Column, Column]:
-    """(date_key, missing, invalid): unparsable or missing dates become 19900101."""
+PARSED = "_parsed_date"
+
+
+def with_parsed_date(df: DataFrame, raw: Column) -> DataFrame:
+    """Parse the raw date once into its own column (the parse is referenced several times later)."""
+    return df.withColumn(PARSED, parse_sales_date(raw))
+
+
+def date_rule(raw: Column, parsed: Column | None = None) -> tuple[Column, Column, Column]:
+    """(date_key, missing, invalid): unparsable or missing dates become 19900101.
+
+    ``parsed`` should be a column computed by ``with_parsed_date``; the parse
+    is large, and a conditional expression would otherwise repeat it.
+    """
     missing = raw.isNull() | (strip(raw) == "")
-    parsed = parse_sales_date(raw)
+    parsed = F.col(PARSED) if parsed is None else parsed
     invalid = ~missing & parsed.isNull()
     key = F.when(missing | invalid, F.lit(K.SENTINEL_DATE_KEY)).otherwise(date_key_of(parsed)).cast("int")
     return key, missing, invalid
@@ -132,7 +144,8 @@ class SalesRun:
         j = df.join(right, cond, "left")
         j = j.withColumn("_is_first", ~F.col("_txn_missing") & F.coalesce(F.col(ORD) == F.col("_first"),
                                                                           F.lit(False)))
-        out = self._with_rules(j.drop("_k0", "_k1", "_first", "_pair_rows"))
+        j = with_parsed_date(j.drop("_k0", "_k1", "_first", "_pair_rows"), F.col("_raw.date"))
+        out = self._with_rules(j)
         return out.checkpoint(eager=True) if self.materialize else out
 
     @staticmethod
@@ -279,6 +292,8 @@ class SalesRun:
               ("customer_missing", "product_id_missing", "product_name_missing", "category_missing",
                "price_invalid", "quantity_missing", "quantity_negative", "discount_missing",
                "discount_negative", "date_missing", "date_invalid", "region_missing")],
+            F.count_if(first & (f.quantity_missing | f.quantity_negative)).alias("quantity_invalid"),
+            F.count_if(first & (f.discount_missing | f.discount_negative)).alias("discount_invalid"),
             F.count_if(first & (F.col("region") == K.UNKNOWN)).alias("region_unknown_total"),
             F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total"))
         k = self.fact_key_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"),

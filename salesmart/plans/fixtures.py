@@ -31,6 +31,10 @@ def _shifted_date_parts(ts: Column) -> tuple[Column, Column, Column]:
     return F.year(ts) + 15, F.month(ts), F.least(F.dayofmonth(ts), F.lit(28))
 
 
+def _pad(c: Column, width: int) -> Column:
+    return F.lpad(c.cast("string"), width, "0")
+
+
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``c_custkey -> r_name``; nation and region are fixed-size (25 / 5 rows)."""
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
@@ -113,16 +117,16 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pk % 97 == 0, null).otherwise(F.col("p_name")).alias("product_name"),
         F.when(pk % 89 == 0, F.lit("NaN")).otherwise(F.col("p_type")).alias("category"),
         F.when(pk % 83 == 0, F.lit("n/a")).when(pk % 79 == 0, F.lit("-1.50"))
-         .otherwise(F.format_string("%.2f", F.col("p_retailprice"))).alias("price"),
+         .otherwise(F.col("p_retailprice").cast("decimal(12,2)").cast("string")).alias("price"),
         F.when((ln == 7) & (sk % 3 == 0), null).when(sk % 13 == 0, F.lit("-4")).when(sk % 17 == 0, F.lit("two"))
          .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
         F.when(sk % 11 == 0, null).when(sk % 19 == 0, F.lit("-0.05"))
-         .otherwise(F.format_string("%.2f", F.col("l_discount"))).alias("discount"),
+         .otherwise(F.col("l_discount").cast("decimal(4,2)").cast("string")).alias("discount"),
         F.when(ok % 101 == 0, null).when(ok % 103 == 0, F.lit("invalid_date"))
-         .when(ln % 4 == 0, F.format_string("%04d/%02d/%02d", y, m, d))
-         .when(ln % 4 == 1, F.format_string("%02d-%02d-%04d", d, m, y))
-         .when(ln % 4 == 2, F.format_string("%04d-%02d-%02dT00:00:00Z", y, m, d))
-         .otherwise(F.format_string("%04d-%02d-%02d", y, m, d)).alias("date"),
+         .when(ln % 4 == 0, F.concat_ws("/", _pad(y, 4), _pad(m, 2), _pad(d, 2)))
+         .when(ln % 4 == 1, F.concat_ws("-", _pad(d, 2), _pad(m, 2), _pad(y, 4)))
+         .when(ln % 4 == 2, F.concat(F.concat_ws("-", _pad(y, 4), _pad(m, 2), _pad(d, 2)), F.lit("T00:00:00Z")))
+         .otherwise(F.concat_ws("-", _pad(y, 4), _pad(m, 2), _pad(d, 2))).alias("date"),
         F.when(F.col("c_nationkey") % 9 == 0, null).otherwise(F.concat(F.lit(" "), F.col("r_name"))).alias("region"),
         # Rows of orders with key % 307 = 0 arrive twice (exact duplicates); one pass, no union.
         F.explode(F.when(ok % 307 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))

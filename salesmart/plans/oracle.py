@@ -330,11 +330,11 @@ SELECT
   CASE WHEN l.l_partkey % 97 = 0 THEN NULL ELSE p.p_name END AS product_name,
   CASE WHEN l.l_partkey % 89 = 0 THEN 'NaN' ELSE p.p_type END AS category,
   CASE WHEN l.l_partkey % 83 = 0 THEN 'n/a' WHEN l.l_partkey % 79 = 0 THEN '-1.50'
-       ELSE printf('%.2f', p.p_retailprice) END AS price,
+       ELSE CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
   CASE WHEN l.l_linenumber = 7 AND l.l_suppkey % 3 = 0 THEN NULL WHEN l.l_suppkey % 13 = 0 THEN '-4'
        WHEN l.l_suppkey % 17 = 0 THEN 'two' ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
   CASE WHEN l.l_suppkey % 11 = 0 THEN NULL WHEN l.l_suppkey % 19 = 0 THEN '-0.05'
-       ELSE printf('%.2f', l.l_discount) END AS discount,
+       ELSE CAST(CAST(l.l_discount AS DECIMAL(4,2)) AS VARCHAR) END AS discount,
   CASE WHEN l.l_orderkey % 101 = 0 THEN NULL WHEN l.l_orderkey % 103 = 0 THEN 'invalid_date'
        WHEN l.l_linenumber % 4 = 0 THEN printf('%04d/%02d/%02d', year(l.l_shipdate) + 15, month(l.l_shipdate),
                                                least(day(l.l_shipdate), 28))
@@ -530,6 +530,8 @@ SELECT
   (SELECT COUNT(*) FILTER (WHERE f_date_m) FROM s_clean) AS date_missing,
   (SELECT COUNT(*) FILTER (WHERE f_date_i) FROM s_clean) AS date_invalid,
   (SELECT COUNT(*) FILTER (WHERE f_region) FROM s_clean) AS region_missing,
+  (SELECT COUNT(*) FILTER (WHERE f_quantity_m OR f_quantity_n) FROM s_clean) AS quantity_invalid,
+  (SELECT COUNT(*) FILTER (WHERE f_discount_m OR f_discount_n) FROM s_clean) AS discount_invalid,
   (SELECT COUNT(*) FILTER (WHERE c_region = 'Unknown') FROM s_clean) AS region_unknown_total,
   (SELECT COUNT(*) FILTER (WHERE c_customer_id = 'Unknown') FROM s_clean) AS customer_unknown_total,
   (SELECT COUNT(*) FILTER (WHERE NOT _is_first) FROM s_fact_flagged) AS duplicate_fact_key,

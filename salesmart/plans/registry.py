@@ -199,8 +199,12 @@ query("clean_discount")(_number_query("discount"))
 @query("clean_date")
 def clean_date(spark, sf):
     key, missing, invalid = SL.date_rule(F.col("date"))
-    return _raw_with(spark, sf, "date", key.alias("date_key"), missing.alias("date_missing"),
-                     invalid.alias("date_invalid"))
+    raw = SL.with_parsed_date(X.raw_sales(spark, sf), F.col("date"))
+    out = []
+    for c in RAW_SALES_COLUMNS:
+        out.extend([key.alias("date_key"), missing.alias("date_missing"), invalid.alias("date_invalid")]
+                   if c == "date" else [F.col(c)])
+    return raw.select(*out)
 
 
 @query("dedup_full_row")
@@ -556,7 +560,8 @@ def scalar_functions(spark, sf):
     from ..functions.numeric import coerce_number
     from ..functions.text import strip
     raw = X.raw_sales(spark, sf)
-    d = parse_sales_date(F.col("date"))
+    raw = raw.withColumn("_d", parse_sales_date(F.col("date")))
+    d = F.col("_d")
     price = coerce_number(F.col("price"))
     return raw.select(
         strip(F.col("transaction_id")).alias("txn_strip"),
