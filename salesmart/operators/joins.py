@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Upper bound for an explicit broadcast, in bytes (well below executor memory).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Upper bound for an explicit broadcast: estimated (on-disk) bytes; in memory a side may be a few times larger.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def estimated_size(df: DataFrame) -> int | None:
@@ -25,16 +25,21 @@ def estimated_size(df: DataFrame) -> int | None:
     """
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
-        whole = int(plan.stats().sizeInBytes().toString())
+        whole = _as_int(plan.stats().sizeInBytes())
         leaves = plan.collectLeaves()
         total = 0
         for i in range(leaves.size()):
-            total += int(leaves.apply(i).stats().sizeInBytes().toString())
+            total += _as_int(leaves.apply(i).stats().sizeInBytes())
         return min(whole, total) if _only_lookups(plan) else whole
     except Exception:  # pragma: no cover - estimate unavailable
         return None
 
 
+def _as_int(size) -> int:
+    """A plan size as a Python int (py4j may hand over a Python int or a JVM BigInt)."""
+    return size if isinstance(size, int) else int(str(size))
+
+
 def _only_lookups(plan) -> bool:
     """True when every join in the plan is an inner/left/semi/anti equi-join (no cross or outer fan-out)."""
     text = plan.toString()
