@@ -24,6 +24,7 @@ from ..functions.dates import date_key_of, parse_sales_date
 from ..functions.numeric import coerce_number
 from ..functions.text import as_py_str, is_in, strip
 from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS
+from ..session import write_stage
 from . import dedup as DD
 from .quality import issue_when, log_rows, record_json
 
@@ -97,9 +98,10 @@ class SalesRun:
 
     Without an ``_ord`` column the source order is the row's own columns; the
     full-row dedup then needs no order aggregate and stays a hash aggregate.
-    With ``materialize=True`` the annotated frame (all distinct rows with every
-    flag) is checkpointed once to the shared checkpoint folder, so the log,
-    the counters and the load read it instead of recomputing the passes.
+    With ``materialize=True`` the distinct rows and the annotated frame (all
+    distinct rows with every flag) are checkpointed once to the shared
+    checkpoint folder, so the pair dedup, the log, the counters and the load
+    read them instead of recomputing the passes.
     """
 
     def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None, materialize: bool = False):
@@ -117,6 +119,9 @@ class SalesRun:
     @cached_property
     def full_row_groups(self) -> DataFrame:
         g = DD.count_copies(self.raw, RAW)
+        if self.materialize:
+            # Both sides of the pair dedup read these rows: write them once to the shared folder.
+            g = write_stage(g, "sales_distinct_rows")
         return with_order(g) if self.own_order else g
 
     @cached_property
@@ -146,7 +151,7 @@ class SalesRun:
                                                                           F.lit(False)))
         j = with_parsed_date(j.drop("_k0", "_k1", "_first", "_pair_rows"), F.col("_raw.date"))
         out = self._with_rules(j)
-        return out.checkpoint(eager=True) if self.materialize else out
+        return write_stage(out, "sales_annotated") if self.materialize else out
 
     @staticmethod
     def _with_rules(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import join_dim
-from ..sources.tables import read_table
+from ..sources.tables import read_table, with_parallelism_floor
 
 # Audit timestamps used by the fixtures and by the load under test.
 EXISTING_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -53,8 +53,8 @@ def fact_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouping keys (orderkey, partkey) are refined by the join's orderkey
     partitioning, so no extra shuffle is needed for the dedup.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity",
-                    "l_discount", "l_shipdate")
+    li = with_parallelism_floor(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity",
+                                           "l_discount", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     y, m, d = _shifted_date_parts(F.col("l_shipdate"))
     lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -96,8 +96,8 @@ def dim_product(spark: SparkSession, sf_dir: str, with_unknown: bool = True) ->
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty flat sales rows, every column a string (rules of FIXTURES.md section 4)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_quantity", "l_discount", "l_shipdate")
+    li = with_parallelism_floor(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                                           "l_linenumber", "l_quantity", "l_discount", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_retailprice")
     regions = customer_regions(spark, sf_dir)

@@ -148,7 +148,7 @@ from ..operators import upsert as U  # noqa: E402
 from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS  # noqa: E402
 
 
-def sales_run(spark, sf, materialize: bool = False) -> SL.SalesRun:
+def sales_run(spark, sf, materialize: bool = True) -> SL.SalesRun:
     """One sales load over the dirty fixture; ``materialize`` checkpoints the annotated rows once."""
     return SL.SalesRun(X.raw_sales(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS), materialize=materialize)
 
@@ -642,6 +642,6 @@ def stream_incremental_load(spark, sf):
     target = scratch_path(spark, "fact_sales")
     X.existing_fact_sales(spark, sf).write.parquet(target)
     q = start_incremental_load(spark, inbox, target, scratch_path(spark, "stream_ckpt"),
-                               X.dim_customer(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS))
+                               X.dim_customer(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS), files_per_batch=2)
     q.awaitTermination()
     return spark.read.parquet(target)

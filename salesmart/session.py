@@ -64,3 +64,15 @@ def local_path(path: str) -> str:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("SALESMART_SF_DIR", default)
+
+
+def write_stage(df, name: str):
+    """Cut lineage: write ``df`` as parquet into the shared checkpoint folder and read it back.
+
+    Used for intermediate results that several later passes read; the table
+    survives executor loss (unlike cached blocks) and is read column-pruned.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
