@@ -31,10 +31,19 @@ def total_sales(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     return with_gross(fact, dim_product).agg(money(F.sum("gross")).alias("total_sales"))
 
 
+def per_transaction(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Gross total per transaction: one grouped aggregate with map-side combine."""
+    return with_gross(fact, dim_product).groupBy("transaction_id").agg(F.sum("gross").alias("txn_total"))
+
+
 def avg_sale_per_transaction(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Total sales / distinct transactions; blank (null) when there are none."""
-    g = with_gross(fact, dim_product)
-    return g.agg(money(F.try_divide(F.sum("gross"), F.count_distinct("transaction_id")))
+    """Total sales / distinct transactions; blank (null) when there are none.
+
+    Both numbers come from the per-transaction totals, so there is no
+    distinct-count aggregate (which Spark would expand row by row).
+    """
+    t = per_transaction(fact, dim_product)
+    return t.agg(money(F.try_divide(F.sum("txn_total"), F.count(F.col("transaction_id"))))
                  .alias("avg_sale_per_transaction"))
 
 
@@ -45,9 +54,8 @@ def total_loyalty_points(dim_customer: DataFrame) -> DataFrame:
 def high_value_transactions(fact: DataFrame, dim_product: DataFrame,
                             threshold: int = HIGH_VALUE_THRESHOLD) -> DataFrame:
     """Transactions whose gross total exceeds the threshold: two-level aggregation."""
-    per_txn = (with_gross(fact, dim_product).groupBy("transaction_id")
-               .agg(F.sum("gross").alias("txn_total")))
-    return per_txn.agg(F.count_if(F.col("txn_total") > threshold).alias("high_value_transactions"))
+    return per_transaction(fact, dim_product).agg(
+        F.count_if(F.col("txn_total") > threshold).alias("high_value_transactions"))
 
 
 def total_customers(fact: DataFrame) -> DataFrame:
@@ -59,21 +67,19 @@ def total_customers(fact: DataFrame) -> DataFrame:
 
 
 def kpi_cards(fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """The KPI card row: five single-row aggregates side by side.
+    """The KPI card row: total sales, average per transaction, loyalty, high-value count, customers.
 
-    Gross total, transaction count and customer count share one pass over the
-    joined facts; the per-transaction totals need a second grouping.
+    Gross total, transaction count and the high-value count all come from one
+    per-transaction grouping; customers are one more grouping; loyalty reads
+    the customer dimension.  The one-row results are stacked and folded.
     """
-    g = with_gross(fact, dim_product)
-    base = g.agg(F.sum("gross").alias("gross"),
-                 F.count_distinct("transaction_id").alias("n_txn"),
-                 (F.count_distinct("customer_id")
-                  + F.max(F.col("customer_id").isNull().cast("int")).cast("bigint")).alias("total_customers"))
-    hv = high_value_transactions(fact, dim_product)
+    t = per_transaction(fact, dim_product).agg(
+        F.sum("txn_total").alias("gross"), F.count(F.col("transaction_id")).alias("n_txn"),
+        F.count_if(F.col("txn_total") > HIGH_VALUE_THRESHOLD).alias("high_value_transactions"))
+    c = total_customers(fact)
     lp = total_loyalty_points(dim_customer)
-    # Stack the three one-row results and fold them into one row (no join needed).
-    stacked = base.unionByName(hv, allowMissingColumns=True).unionByName(lp, allowMissingColumns=True)
-    row = stacked.agg(*[F.max(c).alias(c) for c in
+    stacked = t.unionByName(c, allowMissingColumns=True).unionByName(lp, allowMissingColumns=True)
+    row = stacked.agg(*[F.max(x).alias(x) for x in
                         ("gross", "n_txn", "total_customers", "high_value_transactions", "total_loyalty_points")])
     return row.select(money(F.col("gross")).alias("total_sales"),
                       money(F.try_divide(F.col("gross"), F.col("n_txn"))).alias("avg_sale_per_transaction"),
