@@ -141,3 +141,11 @@ def test_end_to_end_jobs_are_idempotent(spark):
     assert v2.count() == spark.read.parquet(out["dim_product"]).count()
     assert v2.filter(F.col("updated_at") > F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")).count() == 0
     assert spark.read.parquet(out["bad_data_log"]).count() > 0
+    # reports read the published tables: query 1 totals equal the fact lines joined to products
+    rep = P.report(spark, root)
+    q1 = rep["q1_region_category"].agg(F.sum("total_sales")).collect()[0][0]
+    m = P.read_mart(spark, root)
+    direct = (m["fact_sales"].join(m["dim_product"], "product_id")
+              .agg(F.sum(F.col("quantity") * F.col("price") * (1 - F.coalesce("discount", F.lit(0))))).collect()[0][0])
+    assert abs(float(q1) - float(direct)) < 1.0
+    assert rep["dash_kpi_cards"].count() == 1
