@@ -422,7 +422,7 @@ SELECT product_id, product_name, category, CAST(price AS DECIMAL(10,2)) AS price
 
 
 def raw_json(prefix: str = "") -> str:
-    return "to_json(struct_pack(" + ", ".join(f"{c} := {prefix}{c}" for c in RAW_COLS) + "))"
+    return "CAST(to_json(struct_pack(" + ", ".join(f"{c} := {prefix}{c}" for c in RAW_COLS) + ")) AS VARCHAR)"
 
 
 def log_select(src: str, col: str, issue: str, note: str, record: str, original: str, copy: str = "1",
@@ -453,7 +453,7 @@ def _log_parts() -> str:
         c, i, n = ISSUES[key]
         parts.append(log_select("s_clean", c, i, n, "c_transaction_id", raw_json(), where=flag))
     c, i, n = ISSUES["fact_key_dup"]
-    fact_json = "to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in FACT_COLS) + "))"
+    fact_json = "CAST(to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in FACT_COLS) + ")) AS VARCHAR)"
     parts.append(log_select("s_fact_flagged", c, i, n, "transaction_id", fact_json, where="NOT _is_first"))
     return "\nUNION ALL".join(parts)
 
@@ -494,7 +494,7 @@ ORACLE["clean_date"] = sql(
 
 ORACLE["dedup_full_row"] = sql(f"SELECT {RAW_SEL} FROM s_w1", "s_w1")
 ORACLE["dedup_full_row_rejects"] = sql(f"""
-SELECT {RAW_SEL}, CAST(unnest(generate_series(2, _n)) AS INTEGER) AS copy_no FROM s_w1 WHERE _n > 1""", "s_w1")
+SELECT {RAW_SEL}, CAST(unnest(generate_series(2, _n)) AS BIGINT) AS copy_no FROM s_w1 WHERE _n > 1""", "s_w1")
 ORACLE["dedup_txn_product"] = sql(f"SELECT {_raw_with('transaction_id', 'txn AS transaction_id')} "
                                   f"FROM s_w2 WHERE _is_first", "s_w2")
 ORACLE["dedup_txn_product_rejects"] = sql(f"SELECT {_raw_with('transaction_id', 'txn AS transaction_id')} "
@@ -678,7 +678,7 @@ FROM existing_customer e FULL OUTER JOIN cust_enforced s ON e.customer_id = s.cu
 def _cust_log() -> str:
     from ..constants import ISSUES
     c, i, n = ISSUES["customer_blank_id"]
-    orig = "to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in CUST_COLS) + "))"
+    orig = "CAST(to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in CUST_COLS) + ")) AS VARCHAR)"
     return f"""
 SELECT sha256(concat_ws('|', {RUN_ID}, 'ssis_pkg', '{c}', '{i}', {orig}, '1')) AS log_id,
        {TS_RUN} AS etl_run_id, 'ssis_pkg' AS source_system, customer_id AS record_id, '{c}' AS bad_column,
@@ -786,7 +786,7 @@ SELECT {strip('transaction_id')} AS txn_strip, lower({strip('customer_id')}) AS
        coalesce(category IN ('NaN', 'nan'), false) AS category_is_nan,
        coalesce(product_name, 'Unknown') AS name_or_unknown,
        {_num} AS price_number,
-       round(CAST({_num} AS DECIMAL(10,2)) * 3, 1) AS price_x3_round1,
+       CAST(round(CAST({_num} AS DECIMAL(10,2)) * 3, 1) AS DECIMAL(18,1)) AS price_x3_round1,
        TRY_CAST(quantity AS INTEGER) AS quantity_int,
        {_pd} AS parsed_date,
        strftime({_pd}, '%Y%m%d') AS date_yyyymmdd,

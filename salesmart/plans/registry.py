@@ -569,7 +569,7 @@ def scalar_functions(spark, sf):
         F.coalesce(F.col("category").isin("NaN", "nan"), F.lit(False)).alias("category_is_nan"),
         F.coalesce(F.col("product_name"), F.lit("Unknown")).alias("name_or_unknown"),
         price.alias("price_number"),
-        F.round(price.cast("decimal(10,2)") * 3, 1).alias("price_x3_round1"),
+        F.round(price.cast("decimal(10,2)") * 3, 1).cast("decimal(18,1)").alias("price_x3_round1"),
         F.col("quantity").try_cast("int").alias("quantity_int"),
         d.alias("parsed_date"),
         F.date_format(d, "yyyyMMdd").alias("date_yyyymmdd"),
