@@ -8,11 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import constants as K
 from ..operators import analytics as A
+from ..operators import checks as CK
+from ..operators import customers as CU
 from ..operators import dims as D
 from ..operators import measures as M
+from ..operators import quality as Q
+from ..operators import sales as SL
+from ..operators import upsert as U
+from ..schemas import CUSTOMER_COLUMNS, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, RAW_SALES_COLUMNS
+from ..session import scratch_path
+from ..sources import files as SF
 from . import fixtures as X
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -139,13 +148,7 @@ def dash_filtered(spark, sf):
 
 
 # ---------------------------------------------------------------- sales cleaning (C1-C13, W1-W5, B*, A17)
-from pyspark.sql import functions as F  # noqa: E402
 
-from .. import constants as K  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import sales as SL  # noqa: E402
-from ..operators import upsert as U  # noqa: E402
-from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS  # noqa: E402
 
 
 def sales_run(spark, sf, materialize: bool = True) -> SL.SalesRun:
@@ -335,9 +338,6 @@ def audit_columns(spark, sf):
 
 
 # ---------------------------------------------------------------- customer flow
-from ..operators import checks as CK  # noqa: E402
-from ..operators import customers as CU  # noqa: E402
-from ..schemas import CUSTOMER_COLUMNS, DIM_CUSTOMER_COLUMNS  # noqa: E402
 
 CUSTOMER_COMPARE = ["customer_name", "email", "region", "join_date", "loyalty_points"]
 
@@ -586,8 +586,6 @@ def scalar_functions(spark, sf):
 
 
 # ---------------------------------------------------------------- sources (S1-S7) and streaming
-from ..session import scratch_path  # noqa: E402
-from ..sources import files as SF  # noqa: E402
 
 
 def _n_files(df: DataFrame, rows_per_file: int = 20_000) -> int:

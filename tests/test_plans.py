@@ -58,3 +58,16 @@ def test_dedup_aggregates_partially_before_shuffle(spark):
 def test_filters_reach_the_scan(spark):
     plan = _plan(X.fact_base(spark, SF_SMALL).filter(F.col("region") == "ASIA"))
     assert "EqualTo(r_name,ASIA)" in plan
+
+
+def test_small_batch_probes_large_target(spark, monkeypatch):
+    """Target over the limit, batch within it: broadcast the batch keys instead of shuffling the target."""
+    from salesmart.operators import upsert as U
+    answers = iter([False, True])          # 1st check: target keys, 2nd check: batch keys
+    monkeypatch.setattr(U, "fits_broadcast", lambda df, limit=None: next(answers))
+    target = X.fact_base(spark, SF_SMALL)
+    batch = target.limit(20)
+    out = U.new_rows(batch, target, ["transaction_id", "product_id"])
+    assert out.count() == 0
+    plan = _plan(out)
+    assert "LeftSemi" in plan and "BroadcastExchange" in plan
