@@ -45,6 +45,8 @@ ISSUES = {
     "fact_key_dup": ("composite_key", "duplicate_key", "Duplicate (transaction_id, product_id) combination found; dropped"),
     "customer_unmatched": ("customer_id", "unknown_reference", "customer_id not in DimCustomer; replaced with 'Unknown'"),
     "customer_blank_id": ("customer_id", "missing_or_blank", "Dropped customer row with blank customer_id"),
+    "customer_points_invalid": ("loyalty_points", "invalid_value", "loyalty_points not an integer; replaced with 0"),
+    "customer_join_date_invalid": ("join_date", "invalid_format", "join_date not a yyyymmdd integer; replaced with 19900101"),
 }
 
 # ---------------------------------------------------------------------------

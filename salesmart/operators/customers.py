@@ -123,3 +123,17 @@ def blank_id_rejects(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Rows the valid-id split drops (after dedup and cleaning), for the bad-data log."""
     df = clean_columns(dedup_by_id(dedup_full(source_defaults(raw))), strict)
     return df.filter(~valid_id(F.col("customer_id")))
+
+
+def invalid_numbers(raw: DataFrame) -> DataFrame:
+    """Rows kept by the flow whose points or cut join date are not integers (raw values).
+
+    Strict mode fails on them; lenient mode replaces them with 0 / 19900101
+    and logs these rows (``_points_bad``, ``_join_date_bad`` say which rule).
+    """
+    df = dedup_by_id(dedup_full(source_defaults(raw)))
+    points = F.col("loyalty_points")
+    points_bad = ~ssis_blank(points) & points.try_cast("int").isNull()
+    jd_bad = clean_join_date(F.col("join_date")).try_cast("int").isNull()
+    return (df.filter(valid_id(F.col("customer_id")) & (points_bad | jd_bad))
+            .select(*CUSTOMER_COLUMNS, points_bad.alias("_points_bad"), jd_bad.alias("_join_date_bad")))

@@ -149,3 +149,28 @@ def test_end_to_end_jobs_are_idempotent(spark):
               .agg(F.sum(F.col("quantity") * F.col("price") * (1 - F.coalesce("discount", F.lit(0))))).collect()[0][0])
     assert abs(float(q1) - float(direct)) < 1.0
     assert rep["dash_kpi_cards"].count() == 1
+
+
+def test_customer_numbers_strict_fails_lenient_logs(spark):
+    import datetime as dt
+    import os
+
+    import pytest
+
+    from salesmart.plans import pipeline as P
+    bad = CUSTOMERS + [
+        {"customer_id": "C9", "customer_name": "Eve", "email": "e@x.org", "region": "North",
+         "join_date": "bad-string-x", "loyalty_points": "abc"}]
+    path = scratch_path(spark, "cust_bad")
+    os.makedirs(path.replace("file:", ""), exist_ok=True)
+    with open(os.path.join(path.replace("file:", ""), "customers.json"), "w") as f:
+        json.dump(bad, f)
+    raw = SF.read_customers_json(spark, path)
+    with pytest.raises(Exception):
+        CU.prepare_customers(raw).collect()
+    root = scratch_path(spark, "mart_lenient")
+    out = P.load_customers(spark, path, root, dt.datetime(2024, 7, 1), strict=False)
+    dim = {r.customer_id: r for r in spark.read.parquet(out["dim_customer"]).collect()}
+    assert dim["C9"].loyalty_points == 0 and dim["C9"].join_date == 19900101
+    log = spark.read.parquet(out["bad_data_log"]).filter("record_id = 'C9'")
+    assert sorted(r.bad_column for r in log.collect()) == ["join_date", "loyalty_points"]
