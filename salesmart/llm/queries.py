@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import simhash
-from salesmart.llm.common import table
+from salesmart.llm import langid, simhash
+from salesmart.llm.common import remainder, table
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    net = langid.fit(docs.filter(~held_out))
+    return langid.identify(docs, net, "doc_id", held_out.alias("held_out"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +22,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_langid": op2_langid,
     "op6_simhash": op6_simhash,
 }
 
