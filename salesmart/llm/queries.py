@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, simhash
+from salesmart.llm import langid, packing, simhash
 from salesmart.llm.common import remainder, table
 
 
@@ -16,6 +16,10 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, net, "doc_id", held_out.alias("held_out"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,6 +27,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_langid": op2_langid,
+    "op3_packing": op3_packing,
     "op6_simhash": op6_simhash,
 }
 
