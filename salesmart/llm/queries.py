@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, packing, simhash
+from salesmart.llm import langid, packing, ppm, simhash
 from salesmart.llm.common import remainder, table
 
 
@@ -25,10 +25,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return ppm.score(docs, ppm.fit(docs.filter("not held_out")))
+
+
 QUERIES = {
     "op2_langid": op2_langid,
     "op3_packing": op3_packing,
     "op6_simhash": op6_simhash,
+    "op10_ppm": op10_ppm,
 }
 
 ORACLE: dict[str, str] = {}
