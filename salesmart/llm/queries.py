@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, packing, ppm, simhash
-from salesmart.llm.common import remainder, table
+from salesmart.llm import langid, licenses, packing, ppm, simhash, toxicity
+from salesmart.llm.common import bounded, remainder, table
+
+#: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
+LABELS = 2_000_000
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +23,30 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    grammar = toxicity.fit(docs.filter("not held_out").join(bounded(labels, LABELS), "doc_id"))
+    scored = toxicity.score(docs, grammar, "doc_id", "held_out")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_spans(table(spark, sf_dir, "documents"))
+    base, own = F.col("phrases.label"), F.col("spans.label")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    best = F.coalesce(F.array_max("spans.share"), F.lit(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min("phrases.start").alias("first_word"), F.array_max("phrases.start").alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"), F.when(F.size("phrases") > 0, 1.0).otherwise(best).alias("score"))
+
+
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
@@ -34,7 +56,9 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_langid": op2_langid,
     "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op8_licenses": op8_licenses,
     "op10_ppm": op10_ppm,
 }
 
