@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, licenses, packing, ppm, simhash, topk, toxicity
+from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, simhash, topk, toxicity
 from salesmart.llm.common import bounded, remainder, table
 
 #: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
@@ -56,6 +56,15 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"), F.when(F.size("phrases") > 0, 1.0).otherwise(best).alias("score"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.report(table(spark, sf_dir, "documents"))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["number"] < len(pii.KINDS))
+    count = lambda number: F.size(F.filter("spans", lambda s: s["number"] == number)).cast("long")
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
@@ -70,6 +79,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_topk": op7_topk,
     "op8_licenses": op8_licenses,
+    "op9_pii": op9_pii,
     "op10_ppm": op10_ppm,
 }
 
