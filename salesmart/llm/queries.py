@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, simhash, topk, toxicity
+from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, simhash, suffix_dedup, topk, toxicity
 from salesmart.llm.common import bounded, remainder, table
 
 #: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
@@ -28,6 +28,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
@@ -75,6 +81,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_langid": op2_langid,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_topk": op7_topk,
