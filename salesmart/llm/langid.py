@@ -167,15 +167,15 @@ def fit(labelled: DataFrame, per_language: int = 1500, max_bytes: int = 4096, se
     return train([t.encode() for t, _ in got], [lang for _, lang in got], seed=seed)
 
 
-def identify(docs: DataFrame, net: Network | None, *keep: str | Column) -> DataFrame:
-    """Documents with a column text -> the columns ``keep``, lang_pred and score, one row for each input row.
+def identify(docs: DataFrame, net: Network | None, *keep: str | Column, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Documents with a column text -> the columns ``keep``, lang_pred and score (or other ``names``), one row for each input row.
 
     lang_pred is the language with the largest mean probability over all windows of the text, score
     that probability.  A text that is null or has no letter, and every text if there is no network,
     gives ``und`` with score 0.
     """
     kept = docs.select(*keep, F.col("text").cast("string").alias("__text"))
-    schema = kept.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = kept.drop("__text").schema.add(names[0], "string").add(names[1], "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Predictor(net) if net else None
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, net: Network | None, *keep: str | Column) -> DataF
                     lang[i], score[i] = model.net.languages[k], s
             at = b.schema.get_field_index("__text")
             cols = [b.column(i) for i in range(b.num_columns) if i != at]
-            names = [n for n in b.schema.names if n != "__text"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(np.minimum(score, 1.0))], [*names, "lang_pred", "score"])
+            kept_names = [n for n in b.schema.names if n != "__text"]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(np.minimum(score, 1.0))], [*kept_names, *names])
 
     return kept.mapInArrow(run, schema)

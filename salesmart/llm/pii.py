@@ -187,7 +187,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     free = marks.withColumn("from", F.greatest("start", F.coalesce(F.max("end").over(by_start), F.lit(0)))).filter(F.col("end") > F.col("from"))
     kept = free.withColumn("mark", F.when(F.col("from") > F.col("start"), "").otherwise(F.col("mark")))
     listed = kept.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("from", "end", "mark"))).alias("__marks"))
-    joined = held.join(listed, held["__rid"] == listed["rid"], "left").drop("rid")
+    joined = held.join(listed.withColumnRenamed("rid", "__rid"), "__rid", "left")
     text, m = F.col("text").cast("string"), F.col("__marks")
     before = lambda i: F.when(i > 0, F.element_at(m, F.greatest(i, F.lit(1)))["end"]).otherwise(0)
     part = F.transform(m, lambda x, i: F.concat(F.substring(text, before(i) + 1, x["from"] - before(i)), x["mark"]))

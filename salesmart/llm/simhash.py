@@ -86,7 +86,7 @@ def within(planes: np.ndarray, block: np.ndarray, query: np.ndarray, radius: int
     Counters have one bit plane for each binary digit up to ``radius``; a carry out of the top one
     sticks.  After every eight planes the pairs of which all lanes exceed the radius are abandoned.
     """
-    digits = radius.bit_length()
+    digits = max(1, radius.bit_length())
     alive = np.arange(len(block))
     count = [np.zeros(len(block), np.uint64) for _ in range(digits)]
     over = np.zeros(len(block), np.uint64)
