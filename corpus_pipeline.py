@@ -15,7 +15,7 @@ from salesmart.llm import decontaminate, langid, packing, pii, simhash
 from salesmart.llm.common import remainder, stage, table
 
 #: A document goes if its best language is less likely than this.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.4
 
 ROW = "__row"
 
@@ -40,8 +40,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     net = langid.fit(fitting)
     if net is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = langid.identify(docs, net, *docs.columns)
-    return judged.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    judged = langid.identify(docs, net, *docs.columns, names=("__language", "__score"))
+    return judged.filter((F.col("__language") != langid.UNDETERMINED) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
