@@ -116,12 +116,12 @@ def corpus_counts(training: DataFrame, order: int = ORDER) -> DataFrame:
                 words[b""] += 1
                 held.append(text)
                 size += len(text)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     gather()
-                    if len(codes) > 3_000_000:
+                    if len(codes) > 1_500_000:
                         yield rows_of_runs()
                         codes, counts = codes[:0], counts[:0]
-                if len(words) > 500_000:
+                if len(words) > 200_000:
                     yield rows_of_words()
         if held:
             gather()
@@ -247,7 +247,7 @@ class Model:
         out[left] += self.log_unseen
         return out
 
-    def scores(self, texts: list[bytes], limit: int = 1_000_000) -> np.ndarray:
+    def scores(self, texts: list[bytes], limit: int = 300_000) -> np.ndarray:
         """log10 probability of each text, its end included."""
         out, at = np.zeros(len(texts)), 0
         while at < len(texts):
