@@ -44,6 +44,7 @@ ISSUES = {
     "region_missing": ("region", "missing", "region missing or blank; replaced with 'Unknown'"),
     "fact_key_dup": ("composite_key", "duplicate_key", "Duplicate (transaction_id, product_id) combination found; dropped"),
     "customer_unmatched": ("customer_id", "unknown_reference", "customer_id not in DimCustomer; replaced with 'Unknown'"),
+    "date_unmatched": ("date", "unknown_reference", "date not in DimDate; replaced with 19900101"),
     "customer_blank_id": ("customer_id", "missing_or_blank", "Dropped customer row with blank customer_id"),
     "customer_points_invalid": ("loyalty_points", "invalid_value", "loyalty_points not an integer; replaced with 0"),
     "customer_join_date_invalid": ("join_date", "invalid_format", "join_date not a yyyymmdd integer; replaced with 19900101"),
@@ -72,7 +73,24 @@ VIEW_DATE_FROM = _dt.date(2010, 1, 1)
 WIDTHS = {
     "dim_customer": {"customer_id": 50, "customer_name": 255, "email": 320, "region": 50},
     "dim_product": {"product_id": 20, "product_name": 255, "category": 100},
+    "dim_date": {"month_name": 20},
     "fact_sales": {"transaction_id": 20, "product_id": 20, "customer_id": 50, "region": 50},
+    "bad_data_log": {"source_system": 50, "record_id": 100, "bad_column": 100, "issue_type": 50, "notes": 255},
+}
+
+# NOT NULL columns of the target tables (a fact's customer may be null).
+NOT_NULL = {
+    "dim_customer": ["customer_id"],
+    "dim_product": ["product_id", "product_name", "price"],
+    "dim_date": ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"],
+    "fact_sales": ["transaction_id", "product_id", "date_key"],
+    "bad_data_log": ["log_id", "etl_run_id", "source_system", "bad_column", "issue_type", "original_record"],
+}
+
+# Decimal columns of the target tables, (precision, scale).
+DECIMALS = {
+    "dim_product": {"price": (10, 2)},
+    "fact_sales": {"discount": (5, 2)},
 }
 
 # Dashboard / query thresholds.

@@ -14,15 +14,9 @@ from .text import strip
 D12 = r"\d{1,2}"
 WORD = r"[A-Za-z]+"
 
-# Formats tried in order, each with the shape a value must have to be tried.
-# day-month-year with dashes, year/month/day, "day Mon year", ISO date.
-PRIMARY_FORMATS = (
-    ("d-M-yyyy", rf"^{D12}-{D12}-\d{{4}}$"),
-    ("yyyy/M/d", rf"^\d{{4}}/{D12}/{D12}$"),
-    ("d MMM yyyy", rf"^{D12} {WORD} \d{{4}}$"),
-    ("yyyy-M-d", rf"^\d{{4}}-{D12}-{D12}$"),
-)
-# Fallbacks of the general parser, tried after the four above.
+# Fixed value: the month-name format among the first four, with the shape a value must have to be tried.
+DAY_MONTH_NAME = ("d MMM yyyy", rf"^{D12} {WORD} \d{{4}}$")
+# Fallbacks of the general parser, tried after the first four and the date-time prefixes.
 FALLBACK_FORMATS = (
     ("M/d/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
     ("d/M/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
@@ -32,9 +26,6 @@ FALLBACK_FORMATS = (
     ("MMMM d yyyy", rf"^{WORD} {D12} \d{{4}}$"),
     ("yyyyMMdd", r"^\d{8}$"),
 )
-# Leading date part of a date-time string (time and zone are ignored, never converted).
-ISO_DATETIME = rf"^(\d{{4}}-{D12}-{D12})[T ]"
-SLASH_DATETIME = rf"^(\d{{4}}/{D12}/{D12})[T ]"
 
 
 def _try(c: Column, pattern: str, shape: str) -> Column:
@@ -52,7 +43,8 @@ def _as_iso(c: Column, shape: str, to_iso: str | None) -> Column:
     return F.when(c.rlike(shape), iso.try_cast("date"))
 
 
-# The numeric layouts of the formats above, and their rewrite to year-month-day.
+# The numeric layouts, and their rewrite to year-month-day.  Of a date-time only the
+# leading date is read; time and zone are ignored, never converted.
 DMY_DASH = (rf"^({D12})-({D12})-(\d{{4}})$", "$3-$2-$1")
 YMD_SLASH = (rf"^(\d{{4}})/({D12})/({D12})$", "$1-$2-$3")
 YMD_DASH = (rf"^\d{{4}}-{D12}-{D12}$", None)
@@ -70,7 +62,7 @@ def parse_sales_date(c: Column) -> Column:
     return F.coalesce(
         _as_iso(s, *DMY_DASH),
         _as_iso(s, *YMD_SLASH),
-        _try(s, *PRIMARY_FORMATS[2]),
+        _try(s, *DAY_MONTH_NAME),
         _as_iso(s, *YMD_DASH),
         _as_iso(s, *ISO_PREFIX),
         _as_iso(s, *SLASH_PREFIX),

@@ -15,8 +15,3 @@ def coerce_number(c: Column) -> Column:
     """Parse text to double; null when missing or not a plain decimal number."""
     s = strip(c)
     return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
-
-
-def clamp_non_negative(x: Column) -> Column:
-    """Missing or negative become 0."""
-    return F.when(x.isNull() | (x < 0), F.lit(0.0)).otherwise(x)

@@ -43,15 +43,20 @@ def not_null(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame
 
 
 def fk_orphans(fact: DataFrame, refs: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows whose foreign key has no parent row, per foreign key."""
-    rows = []
-    for name, (parent, col) in refs.items():
-        keys = parent.select(F.col(col).alias("_pk")).distinct()
-        orphan = fact.join(sized_broadcast(keys), fact[col] == keys._pk, "left_anti")
-        rows.append(orphan.agg(F.count(F.lit(1)).alias("orphan_rows"),
-                               F.count_distinct(F.col(col)).alias("orphan_keys"))
-                    .select(F.lit(name).alias("fk_name"), "orphan_rows", "orphan_keys"))
-    return _union(rows)
+    """Fact rows whose foreign key has no parent row, per foreign key; a null key refers to nothing and is none.
+
+    The fact is read once: all parents are left-joined, then each flag is counted.
+    """
+    j = fact.select(*{col: F.col(col) for _, col in refs.values()}.values())
+    for i, (parent, col) in enumerate(refs.values()):
+        keys = parent.filter(F.col(col).isNotNull()).select(F.col(col).alias(f"_k{i}")).distinct()
+        j = j.join(sized_broadcast(keys, at_most=parent), F.col(col) == F.col(f"_k{i}"), "left")
+    aggs = []
+    for i, (name, (_, col)) in enumerate(refs.items()):
+        orphan = F.col(col).isNotNull() & F.col(f"_k{i}").isNull()
+        aggs.append(F.struct(F.lit(name).alias("fk_name"), F.count_if(orphan).alias("orphan_rows"),
+                             F.count_distinct(F.when(orphan, F.col(col))).alias("orphan_keys")))
+    return j.agg(F.array(*aggs).alias("_a")).select(F.explode("_a").alias("_c")).select("_c.*")
 
 
 def ranges(fact: DataFrame) -> DataFrame:
@@ -75,3 +80,16 @@ def widths(tables: Mapping[str, tuple[DataFrame, Mapping[str, int]]]) -> DataFra
                     .select(F.lit(name).alias("table_name"), "_c.column_name", "_c.max_width",
                             "_c.over_width", "_c.longest"))
     return _union(rows)
+
+
+def decimal_ranges(tables: Mapping[str, tuple[DataFrame, Mapping[str, tuple[int, int]]]]) -> DataFrame:
+    """Numbers that do not fit their decimal column once rounded to its scale, per column."""
+    rows = []
+    for name, (df, limits) in tables.items():
+        aggs = []
+        for c, (p, s) in limits.items():
+            aggs.append(F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("precision"), F.lit(s).alias("scale"),
+                                 F.count_if(F.abs(F.round(F.col(c).cast("double"), s)) >= 10.0 ** (p - s)).alias("out_of_range")))
+        one = df.agg(F.array(*aggs).alias("_a"))
+        rows.append(one.select(F.explode("_a").alias("_c")).select(F.lit(name).alias("table_name"), "_c.*"))
+    return _union(rows)

@@ -39,7 +39,7 @@ def extra_copies(groups: DataFrame, cols: Sequence[str]) -> DataFrame:
     chunks = (groups.filter(F.col("_n") > 1)
               .select(*keep, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 2) / COPIES_PER_TASK)))
                       .alias("_chunk")))
-    spread = chunks.repartition(F.col("_chunk"), *[F.col(c) for c in cols[:1]])
+    spread = chunks.repartition(F.col("_chunk"), *[F.col(c) for c in cols])  # a null or blank first column is no hot key here
     lo = F.col("_chunk") * COPIES_PER_TASK + 2
     hi = F.least(F.col("_n"), lo + COPIES_PER_TASK - 1)
     return spread.select(*keep, F.explode(F.sequence(lo, hi)).alias("_copy"))

@@ -10,6 +10,10 @@ from .. import constants as K
 from ..schemas import DIM_DATE_COLUMNS
 
 
+# The unknown members' keys, by key column.
+UNKNOWN_KEYS = {"customer_id": K.UNKNOWN_CUSTOMER[0], "product_id": K.UNKNOWN_PRODUCT[0], "date_key": K.UNKNOWN_DATE[0]}
+
+
 def _ts(value: dt.datetime):
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
@@ -70,7 +74,9 @@ def vw_dim_date(dim: DataFrame, date_from: dt.date = K.VIEW_DATE_FROM) -> DataFr
 
 def seed_unknown(target: DataFrame, unknown: DataFrame, key: str) -> DataFrame:
     """Add the unknown member once: ``unknown ▷ target`` on the key, then append."""
-    missing = unknown.join(target.select(key), key, "left_anti")
+    # Only the target's rows with the unknown key can match; the filter keeps the rest out of the join.
+    present = target.select(key).filter(F.col(key) == F.lit(UNKNOWN_KEYS[key])).limit(1)
+    missing = unknown.join(present, key, "left_anti")
     return target.unionByName(missing)
 
 

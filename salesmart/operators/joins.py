@@ -1,9 +1,8 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only when the optimizer's size estimate of the
-(already pruned and filtered) side is below a bound; otherwise the join is left
-to Spark's shuffle join, where AQE can still switch to a broadcast from
-runtime statistics and split skewed partitions.
+A side is broadcast only when the optimizer's own size estimate is below a
+bound; otherwise the join is left to Spark's shuffle join, where AQE can still
+switch to a broadcast from runtime statistics and split skewed partitions.
 """
 
 from __future__ import annotations
@@ -14,57 +13,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
-def estimated_size(df: DataFrame) -> int | None:
-    """Size estimate of ``df`` in bytes from the optimized plan's statistics (no job is run).
+def estimated_size(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` in bytes (no job is run).
 
-    Without cost-based statistics Catalyst multiplies the sizes of a join's
-    inputs, which wildly overstates a dimension joined to its lookups.  The
-    estimate used here is the smaller of that and the sum of the plan's leaf
-    relations: a chain of many-to-one lookups never outgrows its inputs, and a
-    filter or projection only shrinks them.
+    Without column statistics the inputs of a join are multiplied, so the
+    estimate of a joined side is far too high and never too low.
     """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        whole = _as_int(plan.stats().sizeInBytes())
-        leaves = plan.collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            total += _as_int(leaves.apply(i).stats().sizeInBytes())
-        return min(whole, total) if _only_lookups(plan) else whole
-    except Exception:  # pragma: no cover - estimate unavailable
-        return None
-
-
-def _as_int(size) -> int:
-    """A plan size as a Python int (py4j may hand over a Python int or a JVM BigInt)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return size if isinstance(size, int) else int(str(size))
 
 
-def _only_lookups(plan) -> bool:
-    """True when every join in the plan is an inner/left/semi/anti equi-join (no cross or outer fan-out)."""
-    text = plan.toString()
-    return "Cross" not in text and "FullOuter" not in text and "RightOuter" not in text
-
-
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    size = estimated_size(df)
-    return size is not None and size <= limit
+    return estimated_size(df) <= limit
 
 
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is within ``limit``, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, at_most: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is within ``limit``, else ``df`` unchanged.
+
+    at_most: a frame that is known to have at least as many and as wide rows,
+    such as the table that ``df`` is a many-to-one lookup on; its estimate is then used.
+    """
+    return F.broadcast(df) if fits_broadcast(df if at_most is None else at_most, limit) else df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "inner",
-             limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+             limit: int = BROADCAST_LIMIT_BYTES, at_most: DataFrame | None = None) -> DataFrame:
     """Join a fact to a dimension, broadcasting the dimension only when its size is checked small."""
-    return fact.join(sized_broadcast(dim, limit), on, how)
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
+    return fact.join(sized_broadcast(dim, limit, at_most), on, how)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import HIGH_VALUE_THRESHOLD, TOP_N
 from ..functions.money import gross_amount, money
@@ -141,14 +141,24 @@ def sales_ytd_monthly(fact: DataFrame, dim_product: DataFrame, dim_date: DataFra
                           money(F.sum("_m").over(w)).alias("sales_ytd"))
 
 
+def _any(conditions: Iterable[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
+
+
 def filtered_sales(fact: DataFrame, dim_product: DataFrame, vw_date: DataFrame,
                    years=None, months=None, regions=None, products=None, categories=None) -> DataFrame:
     """Dashboard slicers: any subset of year, month, region, product, category.
 
     Each given slicer adds one ``isin`` filter; filters on fact columns sit
-    below the joins so Catalyst pushes them to the scan.
+    below the joins so Catalyst pushes them to the scan.  Years and months are
+    also given as ranges of ``date_key``, by which the fact table is laid out.
     """
     f = fact
+    if years is not None:
+        f = f.filter(_any(F.col("date_key").between(y * 10000 + min(months or (1,)) * 100, y * 10000 + max(months or (12,)) * 100 + 31) for y in years))
     if regions is not None:
         f = f.filter(F.col("region").isin(list(regions)))
     if products is not None:

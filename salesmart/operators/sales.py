@@ -1,6 +1,6 @@
 """Sales cleaning and load preparation.
 
-``SalesRun`` builds the lazy stages of one run over a flat raw frame:
+``SalesRun`` builds the stages of one run over a flat raw frame:
 
 1. full-row dedup (W1) -- one aggregate over all columns;
 2. transaction id: strip, drop missing (C1);
@@ -9,8 +9,12 @@
 5. fact projection: distinct (W4), keep-first per key (W3), casts (C11);
 6. product extract: not Unknown, one row per product, first wins (C12, C13, W5).
 
-Raw values travel with the row in ``_raw`` so every log record shows the
-input as it arrived.
+The rows that survive need none of the flags: a full-row duplicate is always a
+pair duplicate, so one keep-first aggregate on (cleaned id, raw product id) over
+the raw rows gives them.  The flagged frame behind the log and the counters
+is built beside it.  Raw values travel in ``_raw``, so a log record shows
+the input as it arrived, except for the load's own decisions (duplicate key,
+unknown reference), which show the cleaned fact row.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from ..functions.dates import date_key_of, parse_sales_date
 from ..functions.numeric import coerce_number
 from ..functions.text import as_py_str, is_in, strip
 from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS
-from ..session import write_stage
+from ..session import delete_folder, scratch_path, write_stage
 from . import dedup as DD
 from .quality import issue_when, log_rows, record_json
 
@@ -94,14 +98,14 @@ def date_rule(raw: Column, parsed: Column | None = None) -> tuple[Column, Column
 
 
 class SalesRun:
-    """Lazy stages of one sales load.  ``raw`` has the flat raw columns (all strings).
+    """Stages of one sales load.  ``raw`` has the flat raw columns (all strings).
 
     Without an ``_ord`` column the source order is the row's own columns; the
     full-row dedup then needs no order aggregate and stays a hash aggregate.
     With ``materialize=True`` the distinct rows and the annotated frame (all
-    distinct rows with every flag) are checkpointed once to the shared
-    checkpoint folder, so the pair dedup, the log, the counters and the load
-    read them instead of recomputing the passes.
+    distinct rows with every flag), which the log and the counters share, are
+    written as Parquet to the run's own folder below the shared checkpoint
+    folder when they are first asked for; ``close`` deletes that folder.
     """
 
     def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None, materialize: bool = False):
@@ -115,13 +119,22 @@ class SalesRun:
         self.run_ts = run_ts
         self.materialize = materialize
 
+    @cached_property
+    def folder(self) -> str:
+        return scratch_path(self.raw.sparkSession, "sales-run")
+
+    def close(self) -> None:
+        """Delete the stages this run has written; its frames cannot be used afterwards."""
+        if "folder" in self.__dict__:
+            delete_folder(self.raw.sparkSession, self.folder)
+
     # ---- W1
     @cached_property
     def full_row_groups(self) -> DataFrame:
         g = DD.count_copies(self.raw, RAW)
         if self.materialize:
             # Both sides of the pair dedup read these rows: write them once to the shared folder.
-            g = write_stage(g, "sales_distinct_rows")
+            g = write_stage(g, "distinct_rows", self.folder)
         return with_order(g) if self.own_order else g
 
     @cached_property
@@ -141,20 +154,20 @@ class SalesRun:
         # First position per (cleaned transaction id, raw product id) among rows with an id.
         # The pair's raw row count (``_pair_rows``) keeps ``_n`` alive on this side too, so both
         # join sides share one full-row aggregate and Spark reuses its exchange.
-        firsts = (df.filter(~F.col("_txn_missing")).groupBy("transaction_id", "product_id")
-                  .agg(F.min(ORD).alias("_first"), F.sum("_n").alias("_pair_rows")))
+        # Rows without an id can never match: they stay out of the join, or they would be one hot key of it.
+        named, nameless = df.filter(~F.col("_txn_missing")), df.filter("_txn_missing")
+        firsts = named.groupBy("transaction_id", "product_id").agg(F.min(ORD).alias("_first"), F.sum("_n").alias("_pair_rows"))
         right = firsts.select(F.col("transaction_id").alias("_k0"), F.col("product_id").alias("_k1"), "_first",
                               "_pair_rows")
-        cond = (df["transaction_id"] == right["_k0"]) & df["product_id"].eqNullSafe(right["_k1"])
-        j = df.join(right, cond, "left")
-        j = j.withColumn("_is_first", ~F.col("_txn_missing") & F.coalesce(F.col(ORD) == F.col("_first"),
-                                                                          F.lit(False)))
-        j = with_parsed_date(j.drop("_k0", "_k1", "_first", "_pair_rows"), F.col("_raw.date"))
-        out = self._with_rules(j)
-        return write_stage(out, "sales_annotated") if self.materialize else out
+        cond = (named["transaction_id"] == right["_k0"]) & named["product_id"].eqNullSafe(right["_k1"])
+        j = named.join(right, cond).withColumn("_is_first", F.col(ORD) == F.col("_first"))
+        j = j.drop("_k0", "_k1", "_first", "_pair_rows").unionByName(nameless.withColumn("_is_first", F.lit(False)))
+        out = self._with_rules(with_parsed_date(j, F.col("_raw.date")), "_n", "_txn_missing", "_is_first")
+        return write_stage(out, "annotated", self.folder) if self.materialize else out
 
     @staticmethod
-    def _with_rules(df: DataFrame) -> DataFrame:
+    def _with_rules(df: DataFrame, *keep: str) -> DataFrame:
+        """All column rules in one projection over ``_raw``, ``_ord``, ``transaction_id`` and the columns ``keep``."""
         r = lambda c: F.col(f"_raw.{c}")
         cust, cust_m = placeholder_rule(r("customer_id"), K.CUSTOMER_PLACEHOLDERS)
         pid, pid_m = placeholder_rule(r("product_id"), K.PRODUCT_ID_PLACEHOLDERS)
@@ -173,23 +186,23 @@ class SalesRun:
                          date_m.alias("date_missing"), date_i.alias("date_invalid"),
                          region_m.alias("region_missing"))
         return df.select(
-            "_raw", ORD, "_n", "_txn_missing", "_is_first", "transaction_id",
+            "_raw", ORD, *keep, "transaction_id",
             cust.alias("customer_id"), pid.alias("product_id"), pname.alias("product_name"),
             cat.alias("category"), price.alias("price"), qty.alias("quantity"), disc.alias("discount"),
             dkey.alias("date_key"), region.alias("region"), flags.alias("_flags"))
 
+    # ---- survivors: C1, W1 and W2 in one aggregate over the raw rows
     @cached_property
-    def with_txn(self) -> DataFrame:
-        return self.annotated
-
-    @cached_property
-    def txn_dropped(self) -> DataFrame:
-        return self.annotated.filter("_txn_missing")
+    def _first_rows(self) -> DataFrame:
+        raw = with_order(self.raw) if self.own_order else self.raw
+        df = raw.select(*RAW, ORD, clean_txn(F.col("transaction_id")).alias("_txn")).filter(~txn_missing(F.col("_txn")))
+        values = [c for c in RAW if c != "product_id"]
+        first = DD.first_row_per_key(df, ["_txn", "product_id"], values)
+        return first.select(F.struct(*RAW).alias("_raw"), ORD, F.col("_txn").alias("transaction_id"))
 
     @cached_property
     def pair_survivors(self) -> DataFrame:
-        return self.annotated.filter("_is_first").select(
-            "_raw", ORD, "transaction_id", *[F.col(f"_raw.{c}").alias(c) for c in RAW[1:]])
+        return self._first_rows.select("_raw", ORD, "transaction_id", *[F.col(f"_raw.{c}").alias(c) for c in RAW[1:]])
 
     @cached_property
     def pair_rejects(self) -> DataFrame:
@@ -198,7 +211,7 @@ class SalesRun:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        return self.annotated.filter("_is_first").drop("_n", "_txn_missing", "_is_first")
+        return self._with_rules(with_parsed_date(self._first_rows, F.col("_raw.date")))
 
     @cached_property
     def clean_rows(self) -> DataFrame:
@@ -207,10 +220,14 @@ class SalesRun:
                                    "price", "quantity", "discount", "date_key", "region")
 
     # ---- W4 + W3 + C11
+    @cached_property
+    def _flagged_survivors(self) -> DataFrame:
+        """The surviving rows for the log and the counters: read from the annotated frame if that is written."""
+        return self.annotated.filter("_is_first") if self.materialize else self.cleaned
+
     @cached_property
     def fact_distinct(self) -> DataFrame:
-        proj = self.cleaned.select(*FACT_COLUMNS, ORD)
-        return DD.count_copies(proj, FACT_COLUMNS).drop("_n")
+        return DD.count_copies(self._flagged_survivors.select(*FACT_COLUMNS, ORD), FACT_COLUMNS).drop("_n")
 
     @cached_property
     def fact_key_flagged(self) -> DataFrame:

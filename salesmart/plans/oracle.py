@@ -47,8 +47,7 @@ FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY date_key, quantity, discount) AS rn
   FROM (
     SELECT l.l_orderkey, l.l_partkey, o.o_custkey,
-           CAST((year(l.l_shipdate) + 15) * 10000 + month(l.l_shipdate) * 100 + least(day(l.l_shipdate), 28)
-                AS INTEGER) AS date_key,
+           CAST(strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y%m%d') AS INTEGER) AS date_key,
            CAST(l.l_quantity AS INTEGER) AS quantity,
            CAST(l.l_discount AS DECIMAL(5,2)) AS discount
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey) y) x
@@ -76,12 +75,12 @@ cte("raw_customers_base", """
 SELECT
   CASE WHEN c.c_custkey % 131 = 0 THEN NULL WHEN c.c_custkey % 137 = 0 THEN '  '
        ELSE 'C' || c.c_custkey END AS customer_id,
-  CASE WHEN c.c_custkey % 29 = 0 THEN '' WHEN c.c_custkey % 31 = 0 THEN repeat('Very Long Name ', 20)
+  CASE WHEN c.c_custkey % 29 = 0 THEN '' WHEN c.c_custkey % 31 = 0 THEN repeat('Quayside Trading ', 18)
        ELSE c.c_name END AS customer_name,
-  CASE WHEN c.c_custkey % 23 = 0 THEN NULL WHEN c.c_custkey % 19 = 0 THEN 'invalid_email'
-       ELSE 'user' || c.c_custkey || '@example.com' END AS email,
+  CASE WHEN c.c_custkey % 23 = 0 THEN NULL WHEN c.c_custkey % 19 = 0 THEN 'no-at-sign.net'
+       ELSE 'buyer.' || c.c_custkey || '@post.example' END AS email,
   CASE WHEN g.c_nationkey % 9 = 0 THEN NULL ELSE g.r_name END AS region,
-  CASE WHEN c.c_custkey % 13 = 0 THEN 'invalid_date' WHEN c.c_custkey % 11 = 0 THEN NULL
+  CASE WHEN c.c_custkey % 13 = 0 THEN 'someday' WHEN c.c_custkey % 11 = 0 THEN NULL
        WHEN c.c_custkey % 7 = 0 THEN '2023/04/0' || (c.c_custkey % 9 + 1)
        WHEN c.c_custkey % 5 = 0 THEN '2022-09-1' || (c.c_custkey % 10) || 'T00:00:00Z'
        ELSE '2024-06-1' || (c.c_custkey % 10) END AS join_date,
@@ -255,6 +254,12 @@ FROM dated_lines
 WHERE region IN ('ASIA', 'EUROPE') AND year IN (2012, 2013) AND month IN (1, 2, 3, 4, 5, 6)
   AND category IN ('ECONOMY', 'PROMO', 'SMALL')""", "dated_lines")
 
+ORACLE["dash_product_sales"] = sql(f"""
+SELECT transaction_id, product_id, customer_id, date_key, year, month, region, category, quantity, price,
+       {money('gross')} AS gross_sales
+FROM dated_lines
+WHERE product_id IN ({', '.join(f"'P{k}'" for k in range(1, 26))})""", "dated_lines")
+
 
 # ------------------------------------------------------------------ sales cleaning
 RAW_COLS = ["transaction_id", "customer_id", "product_id", "product_name", "category", "price", "quantity",
@@ -318,45 +323,42 @@ def cols(prefix: str = "") -> str:
     return ", ".join(f"{prefix}{c}" for c in RAW_COLS)
 
 
-ORDER_RAW = ", ".join(f"{c} NULLS FIRST" for c in RAW_COLS)
-
-cte("raw_sales_base", """
+cte("raw_sales", """
 SELECT
   CASE WHEN l.l_orderkey % 211 = 0 THEN NULL WHEN l.l_orderkey % 223 = 0 THEN '   '
        ELSE ' T' || l.l_orderkey || ' ' END AS transaction_id,
   CASE WHEN o.o_custkey % 61 = 0 THEN NULL WHEN o.o_custkey % 67 = 0 THEN 'None'
        WHEN o.o_custkey % 71 = 0 THEN 'C_absent' ELSE 'C' || o.o_custkey END AS customer_id,
-  CASE WHEN l.l_partkey % 199 = 0 THEN '' ELSE 'P' || l.l_partkey END AS product_id,
+  CASE WHEN l.l_partkey % 199 = 0 THEN CASE WHEN x.again THEN NULL ELSE '' END
+       WHEN x.again THEN ' P' || l.l_partkey ELSE 'P' || l.l_partkey END AS product_id,
   CASE WHEN l.l_partkey % 97 = 0 THEN NULL ELSE p.p_name END AS product_name,
   CASE WHEN l.l_partkey % 89 = 0 THEN 'NaN' ELSE p.p_type END AS category,
   CASE WHEN l.l_partkey % 83 = 0 THEN 'n/a' WHEN l.l_partkey % 79 = 0 THEN '-1.50'
        ELSE CAST(CAST(p.p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
-  CASE WHEN l.l_linenumber = 7 AND l.l_suppkey % 3 = 0 THEN NULL WHEN l.l_suppkey % 13 = 0 THEN '-4'
+  CASE WHEN x.again THEN '1' WHEN l.l_linenumber = 7 AND l.l_suppkey % 3 = 0 THEN NULL WHEN l.l_suppkey % 13 = 0 THEN '-4'
        WHEN l.l_suppkey % 17 = 0 THEN 'two' ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
   CASE WHEN l.l_suppkey % 11 = 0 THEN NULL WHEN l.l_suppkey % 19 = 0 THEN '-0.05'
        ELSE CAST(CAST(l.l_discount AS DECIMAL(4,2)) AS VARCHAR) END AS discount,
-  CASE WHEN l.l_orderkey % 101 = 0 THEN NULL WHEN l.l_orderkey % 103 = 0 THEN 'invalid_date'
-       WHEN l.l_linenumber % 4 = 0 THEN printf('%04d/%02d/%02d', year(l.l_shipdate) + 15, month(l.l_shipdate),
-                                               least(day(l.l_shipdate), 28))
-       WHEN l.l_linenumber % 4 = 1 THEN printf('%02d-%02d-%04d', least(day(l.l_shipdate), 28), month(l.l_shipdate),
-                                               year(l.l_shipdate) + 15)
-       WHEN l.l_linenumber % 4 = 2 THEN printf('%04d-%02d-%02dT00:00:00Z', year(l.l_shipdate) + 15,
-                                               month(l.l_shipdate), least(day(l.l_shipdate), 28))
-       ELSE printf('%04d-%02d-%02d', year(l.l_shipdate) + 15, month(l.l_shipdate), least(day(l.l_shipdate), 28))
-  END AS date,
+  CASE WHEN l.l_orderkey % 101 = 0 THEN NULL WHEN l.l_orderkey % 103 = 0 THEN 'next week'
+       WHEN l.l_orderkey % 107 = 0 THEN strftime(CAST(l.l_shipdate + INTERVAL 15 YEAR AS DATE) + INTERVAL 20 YEAR, '%Y-%m-%d')
+       WHEN l.l_orderkey % 109 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%d %b %Y')
+       WHEN l.l_orderkey % 113 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%m/%d/%Y')
+       WHEN l.l_linenumber % 4 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y/%m/%d')
+       WHEN l.l_linenumber % 4 = 1 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%d-%m-%Y')
+       WHEN l.l_linenumber % 4 = 2 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y-%m-%dT00:00:00Z')
+       ELSE strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y-%m-%d') END AS date,
   CASE WHEN g.c_nationkey % 9 = 0 THEN NULL ELSE ' ' || g.r_name END AS region,
-  l.l_orderkey AS _orderkey
+  CAST((((l.l_orderkey * 16 + l.l_linenumber) * 8192 + date_diff('day', DATE '1990-01-01', CAST(l.l_shipdate AS DATE)))
+        * 65536 + l.l_partkey % 65536) * 4 + x.copy AS BIGINT) AS _ord
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN geo g ON o.o_custkey = g.c_custkey
-JOIN part p ON l.l_partkey = p.p_partkey""", "geo")
-
-cte("raw_sales", f"""
-SELECT {cols()} FROM raw_sales_base
-UNION ALL SELECT {cols()} FROM raw_sales_base WHERE _orderkey % 307 = 0""", "raw_sales_base")
+JOIN part p ON l.l_partkey = p.p_partkey
+JOIN (VALUES (1, false), (2, false), (3, true)) x(copy, again)
+  ON x.copy = 1 OR (x.copy = 2 AND l.l_orderkey % 307 = 0)
+     OR (x.copy = 3 AND l.l_orderkey % 173 = 0 AND l.l_orderkey % 307 <> 0)""", "geo")
 
-# Distinct raw rows with copy counts; _ord ranks rows in source (= all-column) order.
+# Distinct raw rows with copy counts; _ord is the first copy's source position.
 cte("s_w1", f"""
-SELECT *, row_number() OVER (ORDER BY {ORDER_RAW}) AS _ord
-FROM (SELECT {cols()}, COUNT(*) AS _n FROM raw_sales GROUP BY ALL)""", "raw_sales")
+SELECT {cols()}, COUNT(*) AS _n, MIN(_ord) AS _ord FROM raw_sales GROUP BY {cols()}""", "raw_sales")
 
 cte("s_txn", f"""
 SELECT *, {strip(pystr('transaction_id'))} AS txn FROM s_w1""", "s_w1")
@@ -425,6 +427,26 @@ def raw_json(prefix: str = "") -> str:
     return "CAST(to_json(struct_pack(" + ", ".join(f"{c} := {prefix}{c}" for c in RAW_COLS) + ")) AS VARCHAR)"
 
 
+# Expected values of the log (column, issue, note), written out here for the same reason.
+ISSUES = {
+    "duplicate_full_row": ("ALL_COLUMNS", "duplicate_full_row", "Dropped this full duplicate row"),
+    "txn_missing": ("transaction_id", "missing_or_blank", "Dropped row due to missing or blank transaction_id"),
+    "txn_product_dup": ("transaction_id", "duplicate_transactionid+productid", "Dropped duplicate transactionid+productid pairs"),
+    "customer_missing": ("customer_id", "missing", 'customer_id missing or blank; replaced with "Unknown"'),
+    "product_id_missing": ("product_id", "missing", "product_id missing or blank; replaced with 'Unknown'"),
+    "product_name_missing": ("product_name", "missing", "product_name missing or blank; replaced with 'Unknown'"),
+    "category_missing": ("category", "missing", "category missing or blank; replaced with 'Unknown'"),
+    "price_invalid": ("price", "invalid_value", "price missing, non-numeric, or negative; replaced with 0"),
+    "quantity_invalid": ("quantity", "invalid_value", "quantity missing, non-numeric, or negative; replaced with 0"),
+    "discount_invalid": ("discount", "invalid_value", "discount missing, non-numeric, or negative; replaced with 0"),
+    "date_missing": ("date", "missing_value", "date missing or blank; replaced with 1990-01-01"),
+    "date_invalid": ("date", "invalid_format", "invalid date format; replaced with 19900101"),
+    "region_missing": ("region", "missing", "region missing or blank; replaced with 'Unknown'"),
+    "fact_key_dup": ("composite_key", "duplicate_key", "Duplicate (transaction_id, product_id) combination found; dropped"),
+    "customer_blank_id": ("customer_id", "missing_or_blank", "Dropped customer row with blank customer_id"),
+}
+
+
 def log_select(src: str, col: str, issue: str, note: str, record: str, original: str, copy: str = "1",
                where: str = "true") -> str:
     return f"""
@@ -436,7 +458,6 @@ FROM {src} WHERE {where}"""
 
 
 def _log_parts() -> str:
-    from ..constants import ISSUES
     parts = []
     c, i, n = ISSUES["duplicate_full_row"]
     parts.append(log_select("(SELECT *, unnest(generate_series(2, _n)) AS _copy FROM s_w1 WHERE _n > 1)",
@@ -558,22 +579,39 @@ SELECT f.transaction_id, f.product_id,
 FROM s_fact_typed f LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customer) d ON f.customer_id = d.customer_id""",
     "s_fact_typed", "dim_customer")
 
+cte("s_fact_date", """
+SELECT * REPLACE (CASE WHEN date_key IN (SELECT date_key FROM dim_date) THEN date_key ELSE 19900101 END AS date_key)
+FROM s_fact_fk""", "s_fact_fk", "dim_date")
+
 cte("s_fact_new", f"""
-SELECT f.*, {TS_RUN} AS created_at FROM s_fact_fk f
+SELECT f.*, {TS_RUN} AS created_at FROM s_fact_date f
 WHERE NOT EXISTS (SELECT 1 FROM existing_fact e
                   WHERE e.transaction_id = f.transaction_id AND e.product_id = f.product_id)""",
-    "s_fact_fk", "existing_fact")
+    "s_fact_date", "existing_fact")
+
+
+def _reference_log(column: str, note: str, where: str) -> str:
+    record = ("CAST(to_json(struct_pack(transaction_id := transaction_id, product_id := product_id, "
+              "customer_id := customer_id, date_key := date_key, region := region)) AS VARCHAR)")
+    return log_select("s_fact_typed", column, "unknown_reference", note, "transaction_id", record, where=where)
 
+
+ORACLE["fact_date_fk"] = sql("SELECT * FROM s_fact_date", "s_fact_date")
+ORACLE["fact_fk_log"] = sql(
+    _reference_log("customer_id", "customer_id not in DimCustomer; replaced with 'Unknown'",
+                   "customer_id NOT IN (SELECT customer_id FROM dim_customer)") + "\nUNION ALL" +
+    _reference_log("date", "date not in DimDate; replaced with 19900101", "date_key NOT IN (SELECT date_key FROM dim_date)"),
+    "s_fact_typed", "dim_customer", "dim_date")
 ORACLE["fact_customer_fk"] = sql("SELECT * FROM s_fact_fk", "s_fact_fk")
 ORACLE["fact_insert_new"] = sql("SELECT * FROM s_fact_new", "s_fact_new")
 ORACLE["fact_rerun_idempotent"] = sql("""
 SELECT (SELECT COUNT(*) FROM s_fact_new) AS first_run_inserted,
-       (SELECT COUNT(*) FROM s_fact_fk f WHERE NOT EXISTS (
+       (SELECT COUNT(*) FROM s_fact_date f WHERE NOT EXISTS (
           SELECT 1 FROM (SELECT transaction_id, product_id FROM existing_fact
                          UNION ALL SELECT transaction_id, product_id FROM s_fact_new) e
           WHERE e.transaction_id = f.transaction_id AND e.product_id = f.product_id)) AS second_run_inserted,
        (SELECT COUNT(*) FROM existing_fact) + (SELECT COUNT(*) FROM s_fact_new) AS rows_after""",
-                                      "s_fact_new", "s_fact_fk", "existing_fact")
+                                      "s_fact_new", "s_fact_date", "existing_fact")
 ORACLE["audit_columns"] = sql("SELECT created_at, COUNT(*) AS n_rows FROM s_fact_new GROUP BY created_at",
                               "s_fact_new")
 
@@ -676,7 +714,6 @@ FROM existing_customer e FULL OUTER JOIN cust_enforced s ON e.customer_id = s.cu
 
 
 def _cust_log() -> str:
-    from ..constants import ISSUES
     c, i, n = ISSUES["customer_blank_id"]
     orig = "CAST(to_json(struct_pack(" + ", ".join(f"{x} := {x}" for x in CUST_COLS) + ")) AS VARCHAR)"
     return f"""
@@ -717,6 +754,33 @@ SELECT 'dim_date', (SELECT COUNT(*) FROM vw_dim_date), (SELECT COUNT(*) FROM dim
                                 "cust_enforced", "dim_customer", "dim_product", "vw_dim_date", "dim_date")
 
 # ------------------------------------------------------------------ integrity checks
+# Dirty mart: the tables with known violations (FIXTURES.md section 7).
+OK = "TRY_CAST(substr(f.transaction_id, 2) AS BIGINT)"
+cte("bad_fact", f"""
+SELECT CASE WHEN {OK} % 61 = 0 THEN NULL ELSE f.transaction_id END AS transaction_id,
+       CASE WHEN {OK} % 67 = 0 THEN 'P_gone' ELSE f.product_id END AS product_id,
+       CASE WHEN {OK} % 97 = 0 THEN NULL WHEN {OK} % 89 = 0 THEN 'C_gone' ELSE f.customer_id END AS customer_id,
+       CASE WHEN {OK} % 83 = 0 THEN 20991231 WHEN {OK} % 59 = 0 THEN NULL ELSE f.date_key END AS date_key,
+       CASE WHEN {OK} % 79 = 0 THEN -f.quantity ELSE f.quantity END AS quantity,
+       CASE WHEN {OK} % 73 = 0 THEN -0.05 WHEN {OK} % 53 = 0 THEN 1000.0 ELSE CAST(f.discount AS DOUBLE) END AS discount,
+       CASE WHEN {OK} % 47 = 0 THEN repeat('far away ', 7) ELSE f.region END AS region
+FROM fact_base f JOIN (VALUES (1), (2)) x(copy) ON x.copy = 1 OR {OK} % 71 = 0""", "fact_base")
+cte("bad_customer", """
+SELECT CASE WHEN TRY_CAST(substr(customer_id, 2) AS BIGINT) % 43 = 0 THEN NULL ELSE customer_id END AS customer_id,
+       customer_name, email,
+       CASE WHEN TRY_CAST(substr(customer_id, 2) AS BIGINT) % 41 = 0 THEN repeat('north ', 10) ELSE region END AS region
+FROM dim_customer""", "dim_customer")
+cte("bad_product", """
+SELECT CASE WHEN TRY_CAST(substr(product_id, 2) AS BIGINT) % 37 = 0 THEN 'P1' ELSE product_id END AS product_id,
+       CASE WHEN TRY_CAST(substr(product_id, 2) AS BIGINT) % 31 = 0 THEN NULL ELSE product_name END AS product_name, category,
+       CASE WHEN TRY_CAST(substr(product_id, 2) AS BIGINT) % 29 = 0 THEN 123456789.5 ELSE CAST(price AS DOUBLE) END AS price
+FROM dim_product""", "dim_product")
+cte("bad_date", """
+SELECT * REPLACE (CASE WHEN day = 31 THEN repeat('month ', 4) WHEN day = 30 THEN NULL ELSE month_name END AS month_name)
+FROM dim_date""", "dim_date")
+CHECKED = {"dim_customer": "bad_customer", "dim_product": "bad_product", "dim_date": "bad_date", "fact_sales": "bad_fact",
+           "bad_data_log": "s_log"}
+BAD = ("bad_fact", "bad_customer", "bad_product", "bad_date")
 
 
 def _pk(name: str, table: str, keys: str) -> str:
@@ -727,56 +791,58 @@ FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY {keys} HAVING COUNT(*)
 
 
 ORACLE["check_pk_duplicates"] = sql("\nUNION ALL".join([
-    _pk("dim_customer", "dim_customer", "customer_id"), _pk("dim_product", "dim_product", "product_id"),
-    _pk("dim_date", "dim_date", "date_key"), _pk("fact_sales", "fact_base", "transaction_id,product_id"),
+    _pk("dim_customer", "bad_customer", "customer_id"), _pk("dim_product", "bad_product", "product_id"),
+    _pk("dim_date", "bad_date", "date_key"), _pk("fact_sales", "bad_fact", "transaction_id,product_id"),
     _pk("bad_data_log", "s_log", "log_id"), _pk("raw_fact_lines", "s_fact_distinct", "transaction_id,product_id")]),
-    "dim_customer", "dim_product", "dim_date", "fact_base", "s_log", "s_fact_distinct")
-
-
-def _nn(name: str, table: str, columns: list[str]) -> str:
-    return "\nUNION ALL".join(
-        f"\nSELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
-        f"FROM {table}" for c in columns)
-
+    *BAD, "s_log", "s_fact_distinct")
+
+# Expected values, written out here so that a wrong constant of the engine does not pass.
+REQUIRED = {
+    "dim_customer": ["customer_id"],
+    "dim_product": ["product_id", "product_name", "price"],
+    "dim_date": ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"],
+    "fact_sales": ["transaction_id", "product_id", "date_key"],
+    "bad_data_log": ["log_id", "etl_run_id", "source_system", "bad_column", "issue_type", "original_record"],
+}
+TEXT_WIDTHS = {
+    "dim_customer": {"customer_id": 50, "customer_name": 255, "email": 320, "region": 50},
+    "dim_product": {"product_id": 20, "product_name": 255, "category": 100},
+    "dim_date": {"month_name": 20},
+    "fact_sales": {"transaction_id": 20, "product_id": 20, "customer_id": 50, "region": 50},
+    "bad_data_log": {"source_system": 50, "record_id": 100, "bad_column": 100, "issue_type": 50, "notes": 255},
+}
 
-ORACLE["check_not_null"] = sql("\nUNION ALL".join([
-    _nn("dim_customer", "dim_customer", ["customer_id"]),
-    _nn("dim_product", "dim_product", ["product_id", "product_name", "price"]),
-    _nn("dim_date", "dim_date", ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"]),
-    _nn("fact_sales", "fact_base", ["transaction_id", "product_id", "customer_id", "date_key"])]),
-    "dim_customer", "dim_product", "dim_date", "fact_base")
+ORACLE["check_not_null"] = sql("\nUNION ALL".join(
+    f"\nSELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+    f"FROM {CHECKED[name]}" for name, columns in REQUIRED.items() for c in columns), *BAD, "s_log")
 
 
 def _fk(name: str, parent: str, col: str) -> str:
     return f"""
 SELECT '{name}' AS fk_name, COUNT(*) AS orphan_rows, COUNT(DISTINCT f.{col}) AS orphan_keys
-FROM fact_base f WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{col} = f.{col})"""
+FROM bad_fact f WHERE f.{col} IS NOT NULL AND f.{col} NOT IN (SELECT {col} FROM {parent} WHERE {col} IS NOT NULL)"""
 
 
 ORACLE["check_fk_orphans"] = sql("\nUNION ALL".join([
-    _fk("fk_customer", "dim_customer", "customer_id"), _fk("fk_product", "dim_product", "product_id"),
-    _fk("fk_date", "dim_date", "date_key")]), "fact_base", "dim_customer", "dim_product", "dim_date")
+    _fk("fk_customer", "bad_customer", "customer_id"), _fk("fk_product", "bad_product", "product_id"),
+    _fk("fk_date", "bad_date", "date_key")]), *BAD)
 
 ORACLE["check_ranges"] = sql("""
 SELECT COUNT(*) FILTER (WHERE quantity < 0) AS negative_quantity,
        COUNT(*) FILTER (WHERE discount < 0) AS negative_discount, COUNT(*) AS rows_checked
-FROM fact_base""", "fact_base")
-
+FROM bad_fact""", "bad_fact")
 
-def _widths() -> str:
-    from ..constants import WIDTHS
-    tables = {"dim_customer": "dim_customer", "dim_product": "dim_product", "fact_sales": "fact_base"}
-    parts = []
-    for name, limits in WIDTHS.items():
-        for c, n in limits.items():
-            parts.append(f"""
+ORACLE["check_widths"] = sql("\nUNION ALL".join(f"""
 SELECT '{name}' AS table_name, '{c}' AS column_name, {n} AS max_width,
        COUNT(*) FILTER (WHERE length({c}) > {n}) AS over_width, CAST(max(length({c})) AS INTEGER) AS longest
-FROM {tables[name]}""")
-    return "\nUNION ALL".join(parts)
-
+FROM {CHECKED[name]}""" for name, limits in TEXT_WIDTHS.items() for c, n in limits.items()), *BAD, "s_log")
 
-ORACLE["check_widths"] = sql(_widths(), "dim_customer", "dim_product", "fact_base")
+ORACLE["check_decimals"] = sql("""
+SELECT 'dim_product' AS table_name, 'price' AS column_name, 10 AS precision, 2 AS scale,
+       COUNT(*) FILTER (WHERE abs(round(price, 2)) >= 100000000) AS out_of_range FROM bad_product
+UNION ALL
+SELECT 'fact_sales', 'discount', 5, 2, COUNT(*) FILTER (WHERE abs(round(discount, 2)) >= 1000) FROM bad_fact""",
+                               "bad_product", "bad_fact")
 
 # ------------------------------------------------------------------ scalar functions
 _pd = parse_date("date")
@@ -805,8 +871,10 @@ FROM raw_sales""", "raw_sales")
 # ------------------------------------------------------------------ sources and streaming
 ORACLE["src_sales_json"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
 ORACLE["src_flatten_product"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
-ORACLE["src_ordinal"] = sql(f"SELECT {cols()} FROM raw_sales", "raw_sales")
-ORACLE["src_preview"] = sql(f"SELECT {cols()} FROM raw_sales ORDER BY {ORDER_RAW} LIMIT 10", "raw_sales")
+ORACLE["src_ordinal"] = sql(f"""
+SELECT {cols()}, file_no, CAST(row_number() OVER (PARTITION BY file_no ORDER BY _ord) - 1 AS BIGINT) AS position
+FROM (SELECT *, (_ord >> 35) // 5000 AS file_no FROM raw_sales)""", "raw_sales")
+ORACLE["src_preview"] = sql(f"SELECT {cols()} FROM raw_sales ORDER BY _ord LIMIT 10", "raw_sales")
 ORACLE["src_customers_json"] = sql("SELECT * FROM cust_src", "cust_src")
 ORACLE["src_target_projection"] = sql("SELECT product_id, price FROM dim_product", "dim_product")
 ORACLE["stream_incremental_load"] = sql("""

@@ -19,7 +19,7 @@ from ..operators import measures as M
 from ..operators import quality as Q
 from ..operators import sales as SL
 from ..operators import upsert as U
-from ..schemas import CUSTOMER_COLUMNS, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, RAW_SALES_COLUMNS
+from ..schemas import CUSTOMER_COLUMNS, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, FACT_SALES, RAW_SALES_COLUMNS
 from ..session import scratch_path
 from ..sources import files as SF
 from . import fixtures as X
@@ -133,7 +133,7 @@ def ytd_monthly(spark, sf):
     return M.sales_ytd_monthly(*_star(spark, sf), D.vw_dim_date(D.dim_date(spark)))
 
 
-# The slicer selection exercised by the dashboard query.
+# The slicer selections exercised by the dashboard queries.
 SLICER_YEARS = (2012, 2013)
 SLICER_MONTHS = (1, 2, 3, 4, 5, 6)
 SLICER_REGIONS = ("ASIA", "EUROPE")
@@ -147,12 +147,18 @@ def dash_filtered(spark, sf):
                             categories=SLICER_CATEGORIES)
 
 
+@query("dash_product_sales")
+def dash_product(spark, sf):
+    """The product slicer."""
+    return M.filtered_sales(*_star(spark, sf), D.vw_dim_date(D.dim_date(spark)), products=[f"P{k}" for k in range(1, 26)])
+
+
 # ---------------------------------------------------------------- sales cleaning (C1-C13, W1-W5, B*, A17)
 
 
 
-def sales_run(spark, sf, materialize: bool = True) -> SL.SalesRun:
-    """One sales load over the dirty fixture; ``materialize`` checkpoints the annotated rows once."""
+def sales_run(spark, sf, materialize: bool = False) -> SL.SalesRun:
+    """One sales load over the dirty fixture; ``materialize`` writes the stages that log and counters share."""
     return SL.SalesRun(X.raw_sales(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS), materialize=materialize)
 
 
@@ -169,7 +175,8 @@ def _raw_with(spark, sf, col: str, *exprs) -> DataFrame:
 def clean_txn(spark, sf):
     raw = X.raw_sales(spark, sf)
     txn = SL.clean_txn(F.col("transaction_id"))
-    return (raw.withColumn("transaction_id", txn).filter(~SL.txn_missing(F.col("transaction_id"))))
+    return (raw.withColumn("transaction_id", txn).filter(~SL.txn_missing(F.col("transaction_id")))
+            .select(*RAW_SALES_COLUMNS))
 
 
 def _placeholder_query(col: str, placeholders):
@@ -277,15 +284,32 @@ def run_metrics(spark, sf):
 
 # ---------------------------------------------------------------- loads
 def _fact_resolved(spark, sf):
+    """Facts with both references resolved; replaced values in ``_customer`` and ``_date``."""
+    return U.resolve_date(_fact_customers(spark, sf), D.dim_date(spark))
+
+
+def _fact_customers(spark, sf):
     run = sales_run(spark, sf)
     return U.resolve_customer(run.fact_typed.select(*FACT_COLUMNS), X.dim_customer(spark, sf))
 
 
 @query("fact_customer_fk")
 def fact_customer_fk(spark, sf):
+    return _fact_customers(spark, sf).select(*FACT_COLUMNS)
+
+
+@query("fact_date_fk")
+def fact_date_fk(spark, sf):
+    """A fact date outside the calendar becomes 19900101."""
     return _fact_resolved(spark, sf).select(*FACT_COLUMNS)
 
 
+@query("fact_fk_log")
+def fact_fk_log(spark, sf):
+    """Log rows of the replaced customer and date references."""
+    return U.reference_log(_fact_resolved(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS))
+
+
 @query("fact_insert_new")
 def fact_insert_new(spark, sf):
     fact = _fact_resolved(spark, sf).select(*FACT_COLUMNS)
@@ -503,38 +527,27 @@ def unknown_members(spark, sf):
 
 
 # ---------------------------------------------------------------- integrity checks
-def _mart(spark, sf):
-    return {"fact_sales": X.fact_base(spark, sf), "dim_product": X.dim_product(spark, sf),
-            "dim_customer": X.dim_customer(spark, sf), "dim_date": D.dim_date(spark)}
-
-
 @query("check_pk_duplicates")
 def check_pk(spark, sf):
-    m = _mart(spark, sf)
+    m = X.dirty_mart(spark, sf)
     run = sales_run(spark, sf, materialize=True)
-    log = run.bad_data_log
     return CK.pk_duplicates({
         "dim_customer": (m["dim_customer"], ["customer_id"]), "dim_product": (m["dim_product"], ["product_id"]),
         "dim_date": (m["dim_date"], ["date_key"]), "fact_sales": (m["fact_sales"], ["transaction_id", "product_id"]),
-        "bad_data_log": (log, ["log_id"]),
+        "bad_data_log": (run.bad_data_log, ["log_id"]),
         "raw_fact_lines": (run.fact_distinct, ["transaction_id", "product_id"]),
     })
 
 
 @query("check_not_null")
 def check_not_null(spark, sf):
-    m = _mart(spark, sf)
-    return CK.not_null({
-        "dim_customer": (m["dim_customer"], ["customer_id"]),
-        "dim_product": (m["dim_product"], ["product_id", "product_name", "price"]),
-        "dim_date": (m["dim_date"], ["date_key", "full_date", "year", "month", "month_name", "day", "quarter"]),
-        "fact_sales": (m["fact_sales"], ["transaction_id", "product_id", "customer_id", "date_key"]),
-    })
+    tables = {**X.dirty_mart(spark, sf), "bad_data_log": sales_run(spark, sf, materialize=True).bad_data_log}
+    return CK.not_null({name: (tables[name], columns) for name, columns in K.NOT_NULL.items()})
 
 
 @query("check_fk_orphans")
 def check_fk(spark, sf):
-    m = _mart(spark, sf)
+    m = X.dirty_mart(spark, sf)
     return CK.fk_orphans(m["fact_sales"], {"fk_customer": (m["dim_customer"], "customer_id"),
                                            "fk_product": (m["dim_product"], "product_id"),
                                            "fk_date": (m["dim_date"], "date_key")})
@@ -542,15 +555,19 @@ def check_fk(spark, sf):
 
 @query("check_ranges")
 def check_ranges(spark, sf):
-    return CK.ranges(X.fact_base(spark, sf))
+    return CK.ranges(X.dirty_mart(spark, sf)["fact_sales"])
 
 
 @query("check_widths")
 def check_widths(spark, sf):
-    m = _mart(spark, sf)
-    return CK.widths({"dim_customer": (m["dim_customer"], K.WIDTHS["dim_customer"]),
-                      "dim_product": (m["dim_product"], K.WIDTHS["dim_product"]),
-                      "fact_sales": (m["fact_sales"], K.WIDTHS["fact_sales"])})
+    tables = {**X.dirty_mart(spark, sf), "bad_data_log": sales_run(spark, sf, materialize=True).bad_data_log}
+    return CK.widths({name: (tables[name], limits) for name, limits in K.WIDTHS.items()})
+
+
+@query("check_decimals")
+def check_decimals(spark, sf):
+    m = X.dirty_mart(spark, sf)
+    return CK.decimal_ranges({name: (m[name], limits) for name, limits in K.DECIMALS.items()})
 
 
 # ---------------------------------------------------------------- scalar function surface (2.12)
@@ -595,9 +612,8 @@ def _n_files(df: DataFrame, rows_per_file: int = 20_000) -> int:
 
 @query("src_sales_json")
 def src_sales_json(spark, sf):
-    nested = X.raw_sales_nested(spark, sf)
-    path = SF.write_json_arrays(nested, scratch_path(spark, "sales_json"), _n_files(nested))
-    return SL.flatten_product(SF.read_sales_json(spark, path))
+    path = X.sales_files(spark, sf, scratch_path(spark, "sales_json"))
+    return SL.flatten_product(SF.read_sales_json(spark, path)).select(*RAW_SALES_COLUMNS)
 
 
 @query("src_flatten_product")
@@ -607,9 +623,11 @@ def src_flatten_product(spark, sf):
 
 @query("src_ordinal")
 def src_ordinal(spark, sf):
-    nested = X.raw_sales_nested(spark, sf)
-    path = SF.write_json_arrays(nested, scratch_path(spark, "sales_json"), _n_files(nested))
-    return SL.flatten_product(SF.read_sales_with_ordinal(spark, path)).select(*RAW_SALES_COLUMNS)
+    """Each record with the number of its file and its position there."""
+    path = X.sales_files(spark, sf, scratch_path(spark, "sales_json"))
+    flat = SL.flatten_product(SF.read_sales_with_ordinal(spark, path))
+    return flat.select(*RAW_SALES_COLUMNS, F.regexp_extract("_ord.file", r"bucket=(\d+)", 1).cast("bigint").alias("file_no"),
+                       F.col("_ord.position").alias("position"))
 
 
 @query("src_preview")
@@ -620,7 +638,8 @@ def src_preview(spark, sf):
 @query("src_customers_json")
 def src_customers_json(spark, sf):
     raw = X.raw_customers(spark, sf).withColumn("loyalty_points", F.col("loyalty_points").cast("bigint"))
-    path = SF.write_json_arrays(raw, scratch_path(spark, "customers_json"), _n_files(raw))
+    bucket = F.pmod(F.xxhash64(*raw.columns), F.lit(_n_files(raw)))
+    path = SF.write_json_arrays(raw, scratch_path(spark, "customers_json"), bucket)
     return CU.source_defaults(SF.read_customers_json(spark, path))
 
 
@@ -631,15 +650,22 @@ def src_target_projection(spark, sf):
     return spark.read.parquet(path).select("product_id", "price")
 
 
+def _mart_before(spark, sf) -> str:
+    """A mart root with the tables as they are before the load."""
+    from ..operators.upsert import publish
+    root = scratch_path(spark, "mart")
+    X.existing_fact_sales(spark, sf).write.parquet(f"{root}/fact_sales")
+    publish(X.dim_customer(spark, sf), f"{root}/dim_customer", "before")
+    publish(X.existing_dim_product(spark, sf), f"{root}/dim_product", "before")
+    return root
+
+
 @query("stream_incremental_load")
 def stream_incremental_load(spark, sf):
-    """Arriving sales files streamed into the fact table; result = the table after the stream."""
+    """Arriving sales files streamed into the mart; result = the fact table after the stream."""
     from ..streaming.incremental import start_incremental_load
-    nested = X.raw_sales_nested(spark, sf)
-    inbox = SF.write_json_arrays(nested, scratch_path(spark, "inbox"), 4, key="transaction_id")
-    target = scratch_path(spark, "fact_sales")
-    X.existing_fact_sales(spark, sf).write.parquet(target)
-    q = start_incremental_load(spark, inbox, target, scratch_path(spark, "stream_ckpt"),
-                               X.dim_customer(spark, sf), X.RUN_ID, X.ts_lit(X.RUN_TS), files_per_batch=2)
+    inbox = X.sales_files(spark, sf, scratch_path(spark, "inbox"))
+    root = _mart_before(spark, sf)
+    q = start_incremental_load(spark, inbox, root, scratch_path(spark, "stream_ckpt"), X.RUN_TS)
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return spark.read.schema(FACT_SALES).parquet(f"{root}/fact_sales")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job relies on.  They are applied by ``build_session`` and are all
-# session-level SQL confs, so a cluster can still override them at submit time.
+# Settings a job relies on, applied only where the submitter has not set them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,33 +18,54 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "salesmart", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+    """A session with the job's settings.
+
+    Master and shuffle partitions are left to spark-submit unless given (tests
+    and the benchmark give them); a setting of ``DEFAULT_CONF`` that the
+    submitter has made stays as it is.
+    """
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def on_one_machine(master: str) -> bool:
+    """True for a master whose executors are threads of the driver (``local-cluster`` has its own processes)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a private folder is created for it.
+    On a cluster the setting is required, as no other folder is known to be
+    shared.  With a local master, where driver and tasks are one process, an
+    unset one gets a temporary folder (tests, single-machine runs).
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jpath = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jpath.get() if jpath.isDefined() else None
     if not path:
+        if not on_one_machine(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
@@ -57,22 +76,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}salesmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("SALESMART_SF_DIR", default)
-
-
-def write_stage(df, name: str):
-    """Cut lineage: write ``df`` as parquet into the shared checkpoint folder and read it back.
+def write_stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` as parquet into the shared folder and read it back.
 
     Used for intermediate results that several later passes read; the table
     survives executor loss (unlike cached blocks) and is read column-pruned.
+    ``folder`` (a run's own folder) lets the run delete its stages at its end.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{folder}/{name}" if folder else scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; a store that cannot be asked raises."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _hadoop(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder that a run has made for itself."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

@@ -7,20 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one driver table; selecting columns here keeps the scan's ReadSchema narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
-
-
-def with_parallelism_floor(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer input splits than the default parallelism.
-
-    A small file with few row groups is read by few tasks, and the per-row
-    work after it (string cleaning, partial aggregation) would run on those few
-    cores.  Large inputs already have more splits than cores; for them this is
-    a no-op and no shuffle is added.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return read_target(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", *columns)
 
 
 def read_target(spark: SparkSession, path: str, *columns: str) -> DataFrame:

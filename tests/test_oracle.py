@@ -7,8 +7,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from salesmart.plans.registry import QUERIES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 # Queries that write and read files or run a stream are covered in test_sources.py.
 SLOW = {"src_sales_json", "src_ordinal", "src_customers_json", "src_target_projection", "stream_incremental_load"}
 
@@ -28,7 +29,7 @@ def _key(row):
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", [k for k in KEYS if k not in SLOW])

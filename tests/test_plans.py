@@ -36,11 +36,11 @@ def test_broadcast_refused_over_limit(spark):
     assert J.sized_broadcast(dim) is not dim                # within the limit: broadcast hint
 
 
-def test_lookup_estimate_not_multiplied(spark):
+def test_a_lookup_is_sized_by_the_table_it_hangs_on(spark):
     regions = X.customer_regions(spark, SF_SMALL)
-    plan = regions._jdf.queryExecution().optimizedPlan()
-    catalyst = int(str(plan.stats().sizeInBytes()))
-    assert J.estimated_size(regions) <= catalyst
+    small = X.read_table(spark, SF_SMALL, "region")
+    assert J.sized_broadcast(regions, limit=1 << 20, at_most=small) is not regions
+    assert J.sized_broadcast(regions, limit=16, at_most=small) is regions
 
 
 def test_sales_passes_use_no_window_over_rows(spark):
