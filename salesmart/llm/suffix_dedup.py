@@ -26,10 +26,11 @@ from salesmart.llm.common import raw_bytes, sorted_groups, stage
 
 LENGTH = 400
 GRAM = 128
-PLACE_BITS = 20  # a chunk of bytes that is hashed at once has at most 2 ** 20 places
+PLACE_BITS = 19  # a chunk of bytes that is hashed at once has at most 2 ** 20 places
 #: An anchor run with more different surroundings than this is finished by Spark instead of in one task.
 HOT = 20_000
-DOC_ROWS = 500_000
+#: Sides up to this size (bytes in memory) are broadcast; beyond it the join shuffles.
+SIDE_BYTES = 32_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -182,7 +183,7 @@ def _ranges(t: pa.Table, row: np.ndarray, inner: np.ndarray) -> pa.RecordBatch:
 def _sort_groups(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by key -> the repeated windows of rows that stand for one occurrence."""
-        for t in sorted_groups(batches, ["key"], rows=8_000):
+        for t in sorted_groups(batches, ["key"], rows=4_000):
             buffer, row, start, inner = _windows(t)
             key = np.unique(t.column("key").to_numpy(), return_inverse=True)[1]
             once = t.column("n").to_numpy() == 1
@@ -212,16 +213,17 @@ def _digest_windows(length: int):
 
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast a side of (ids and a few numbers a row) up to DOC_ROWS rows; beyond that the join shuffles."""
-    return F.broadcast(df) if df.limit(DOC_ROWS + 1).count() <= DOC_ROWS else df
+def _few(df: DataFrame, array: str, each: int) -> DataFrame:
+    """Broadcast a staged side of ids and an array (``each`` bytes an element) up to SIDE_BYTES; beyond it the join shuffles."""
+    size = df.agg(F.sum(F.lit(64) + F.size(array) * each)).first()[0] or 0
+    return F.broadcast(df) if size <= SIDE_BYTES else df
 
 
 def _surroundings(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Anchor rows -> the same rows with ``body``, the bytes of all of their windows, cut out of the texts."""
     fields = ["key", "around", "n", "n_around", "lo", "span", "off"]
     listed = stage(wanted.groupBy("doc_id", "h").agg(F.collect_list(F.struct(*fields)).alias("cuts")), "cuts").select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "cuts")
-    once = docs.join(_few(listed), docs["doc_id"].eqNullSafe(F.col("d")) & (docs["h"] == F.col("g"))).select("doc_id", "h", "text", "cuts")
+    once = docs.join(_few(listed, "cuts", 80), docs["doc_id"].eqNullSafe(F.col("d")) & (docs["h"] == F.col("g"))).select("doc_id", "h", "text", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -239,7 +241,8 @@ def _surroundings(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(doc_id, h, text) -> (doc_id, h, a, b): windows a .. b of the text start a string of ``length`` bytes that also starts elsewhere."""
     found = anchors(docs, length, gram)
-    recurring = found.groupBy("key").agg(F.count("*").alias("all")).filter(F.col("all") > 1).select("key")
+    # Staged, so that both sides of the join are plain exchanges, of which Spark can split a hot key's.
+    recurring = stage(found.groupBy("key").agg(F.count("*").alias("all")).filter(F.col("all") > 1).select("key"), "recurring")
     live = stage(found.join(recurring, "key", "left_semi"), "live-anchors")
     kinds = live.groupBy("key", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "lo", "span", "off")).alias("one"))
     kinds = stage(kinds, "anchor-kinds")
@@ -268,24 +271,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
     ranges = repeated_ranges(source, length, gram, hot)
-    listed = stage(ranges.groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "b")).alias("ranges")), "ranges").select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "ranges")
-    joined = source.join(_few(listed), source["doc_id"].eqNullSafe(F.col("d")) & (source["h"] == F.col("g")), "left").select("doc_id", "text", "ranges")
+    pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans, kept, size = [], [], []
-            for t, ranges in zip(raw_bytes(b, "text"), b.column(2).to_pylist(), strict=True):
+            out = []
+            for ranges in b.column(2).to_pylist():
                 merged: list[list[int]] = []
-                for a, z in sorted((r["a"], r["b"] + length) for r in ranges or ()):
+                for a, z in sorted((r["a"], r["b"] + length) for r in ranges):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], z)
                     else:
                         merged.append([a, z])
-                edges = [0, *(e for m in merged for e in m), len(t)]
-                kept.append(b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)) if merged else t)
-                spans.append([{"start": a, "end": z} for a, z in merged])
+                out.append([{"start": a, "end": z} for a, z in merged])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pair)], ["d", "g", "spans"])
+
+    spans = ranges.groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "b")).alias("ranges")).mapInArrow(merge, "d long, g long, spans array<struct<start:long,end:long>>")
+    listed = stage(spans, "spans")
+    joined = source.join(_few(listed, "spans", 32), source["doc_id"].eqNullSafe(F.col("d")) & (source["h"] == F.col("g")), "left").select("doc_id", "text", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept, size, found = [], [], [s or [] for s in b.column(2).to_pylist()]
+            for t, removed in zip(raw_bytes(b, "text"), found, strict=True):
+                edges = [0, *(e for s in removed for e in (s["start"], s["end"])), len(t)]
+                kept.append(b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)) if removed else t)
                 size.append(len(t))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(spans, pair), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(found, pair), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
