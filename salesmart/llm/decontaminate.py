@@ -64,7 +64,8 @@ def _windows(places: DataFrame, window: int) -> DataFrame:
 
 def _rarest(index: Index, window: int, rarest: int) -> DataFrame:
     """(iid, n, start, place, term, rank): the rarest places of each window of which all terms occur in training."""
-    frequency = index.postings.filter("term != ''").groupBy("term").agg(F.count("*").alias("times"))
+    # Staged: its size is then known, so that a small one is broadcast and a hot term's side can be split.
+    frequency = stage(index.postings.filter("term != ''").groupBy("term").agg(F.count("*").alias("times")), "frequency")
     seen = _windows(index.places, window).join(frequency, "term", "left")
     by_window = Window.partitionBy("iid", "start")
     ranked = seen.withColumn("least", F.min(F.coalesce("times", F.lit(0))).over(by_window)).filter("least > 0")
