@@ -26,7 +26,8 @@ def test_clause_patterns():
     assert read("I will kill you") == ["threat"] and read("never hurt them") == ["threat-negated"]
     assert read("kill time. you rest") == [] and read("you and kill") == []
     assert read("scummy idiot, idiot") == ["insult", "insult"]
-    assert toxicity.features(lexer, None) == toxicity.features(lexer, "") == (0,) * 9
+    assert toxicity.features(lexer, None) == toxicity.features(lexer, "") == (0,) * 12
+    assert toxicity.features(lexer, "idiot. " * 2)[9:] == (3, 0, 0) and toxicity.features(lexer, "idiot " + "fine " * 999)[9:] == (1, 0, 1)
 
 
 def test_awkward_rows(spark, docs_frame, prose):
