@@ -47,6 +47,14 @@ def raw_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Cut batches of documents into small ones, so that a task holds few texts as Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 50_000) -> Iterator[pa.Table]:
     """Re-cut batches that are sorted by ``keys`` into tables of at least ``rows`` rows that never split a key."""
     held: list[pa.RecordBatch] = []

@@ -49,7 +49,7 @@ def build(docs: DataFrame, items: DataFrame) -> Index:
     places = stage(listed.select("iid", "item_id", F.size("w").alias("n"), F.posexplode("w").alias("place", "term")), "items")
     terms = places.select("term").union(places.sparkSession.sql("SELECT '' AS term")).distinct()
     with_end = F.concat(words(F.col("text")), F.array(F.lit("")))
-    tokens = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), with_end.alias("w"))
+    tokens = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", with_end.alias("w"))
     tokens = tokens.select("rid", "doc_id", F.posexplode("w").alias("pos", "term"))
     held = tokens.join(_small_terms(stage(terms, "terms")), "term", "left_semi")
     held = held.select("term", "rid", "pos", F.when(F.col("term") == "", F.col("doc_id")).alias("doc_id"))

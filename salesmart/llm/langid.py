@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import raw_bytes
+from salesmart.llm.common import raw_bytes, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, net: Network | None, *keep: str | Column, names: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Predictor(net) if net else None
-        for b in batches:
+        for b in slices(batches):
             texts = raw_bytes(b, "__text")
             lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             able = [i for i, t in enumerate(texts) if t and _LETTER.search(t.decode())] if model else []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import LOWER, UPPER, raw_bytes
+from salesmart.llm.common import LOWER, UPPER, raw_bytes, slices
 
 #: Fixed values of the contract: phrase and label.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -195,7 +195,7 @@ def license_spans(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
         auto = Automaton(all_templates)
         hit = pa.list_(pa.struct([("start", pa.int64()), ("label", pa.string())]))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("share", pa.float64())]))
-        for b in batches:
+        for b in slices(batches):
             n_words, found, covered = [], [], []
             for text in raw_bytes(b, "text"):
                 words = words_of(text)

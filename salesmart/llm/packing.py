@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stage
+from salesmart.llm.common import slices, stage
 
 SEQUENCE = 2048
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 BLOCK = 2000
 ISLANDS = 2
 EPOCHS = 2
@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str,
         enc = _encoder(tokenizer_path, ranks_path, pattern)
         uid = TaskContext.get().partitionId() << 36
         tail = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in slices(batches):
             rows: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = (enc.encode(text) if text else b"") + tail

@@ -72,7 +72,7 @@ def matches(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     lists = [F.coalesce(_found(text, i, kind), F.array().cast("array<struct<kind:int,k:int,gap:int,value:string,before:string,after:string>>")) for i, kind in enumerate(KINDS)]
     end = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("k"), F.lit(0).alias("gap"), F.lit("").alias("value"), F.lit("").alias("before"), F.lit("").alias("after")))
-    whole = docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+    whole = docs.select("rid", "doc_id", F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     raw = stage(whole.select("rid", "doc_id", F.inline(F.concat(end, *lists))), "pii-raw")
     of_kind = Window.partitionBy("rid", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = raw.withColumn("end", F.sum(F.col("gap") + F.char_length("value")).over(of_kind).cast("int")).withColumn("start", F.col("end") - F.char_length("value"))
@@ -172,13 +172,16 @@ def report(docs: DataFrame) -> DataFrame:
     return ids.join(listed, "rid", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")).alias("spans"))
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Documents (doc_id, text, other columns) -> the same columns and rows, with personal data and revealing terms replaced.
 
+    row: a column that names each row, the same whenever ``docs`` is read; without one the documents are written once
+    to number them.
+
     A base span becomes its kind in brackets, a generalised term [TERM], a removed term nothing; of
     overlapping spans the first counts and the rest of the others is covered by it.  A null text stays null.
     """
-    held = stage(docs.withColumn("__rid", F.monotonically_increasing_id()), "pii-docs")
+    held = docs.withColumn("__rid", F.col(row)) if row else stage(docs.withColumn("__rid", F.monotonically_increasing_id()), "pii-docs")
     found, terms = spans(held.select(F.col("__rid").alias("rid"), "doc_id", "text"))
     names = F.element_at(F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS]), F.col("kind") + 1)
     base = found.filter("kind >= 0").select("rid", "start", "end", names.alias("mark"))

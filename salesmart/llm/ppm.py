@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import raw_bytes, stage
+from salesmart.llm.common import raw_bytes, slices, stage
 
 ORDER = 5
 BORDER = 256  # the symbol before and after a text
@@ -109,7 +109,7 @@ def corpus_counts(training: DataFrame, order: int = ORDER) -> DataFrame:
             codes, counts = _merge(np.concatenate([codes, new[first]]), np.concatenate([counts, fresh]))
             held, size = [], 0
 
-        for b in batches:
+        for b in slices(batches):
             for text in raw_bytes(b, "text"):
                 text = text or b""
                 words.update(words_of(text))
@@ -316,7 +316,7 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
             held[token] = Model(codes, counts, order), {w: math.log10((c + half) / scale) for w, c in frequent.items()}
         model, logs = held[token]
         rid = TaskContext.get().partitionId() << 36
-        for b in batches:
+        for b in slices(batches):
             texts = [t or b"" for t in raw_bytes(b, "text")]
             base, tokens, known, rare = [], [], [], []
             for t in texts:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import raw_bytes, sorted_groups, stage
+from salesmart.llm.common import raw_bytes, slices, sorted_groups, stage
 from salesmart.llm.components import components
 
 CAP = 32_768
@@ -51,14 +51,15 @@ def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, text) -> (doc_id, fp long): one row for each input row."""
+    """(doc_id, text) -> (doc_id, fp long): one row for each input row; ids may have any type."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.fromiter((fingerprint(t, words, seed) for t in raw_bytes(b, "text")), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return chosen.mapInArrow(run, chosen.drop("text").schema.add("fp", "long"))
 
 
 def split_mask(mask: int, parts: int) -> list[int]:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import raw_bytes, sorted_groups, stage
+from salesmart.llm.common import raw_bytes, slices, sorted_groups, stage
 
 LENGTH = 400
 GRAM = 128
@@ -101,7 +101,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors(length, gram)
         digest = xxhash.xxh64_intdigest
-        for b in batches:
+        for b in slices(batches):
             texts = [t or b"" for t in raw_bytes(b, "text")]
             doc, h = b.column(0), b.column(1)
             for held in _chunks(texts, length):
@@ -226,7 +226,7 @@ def _surroundings(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     once = docs.join(_few(listed, "cuts", 80), docs["doc_id"].eqNullSafe(F.col("d")) & (docs["h"] == F.col("g"))).select("doc_id", "h", "text", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for i, text in enumerate(raw_bytes(b, "text")):
                 cuts = b.column(3)[i].as_py()
                 rows = pa.array([i] * len(cuts))
@@ -291,7 +291,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     joined = source.join(_few(listed, "spans", 32), source["doc_id"].eqNullSafe(F.col("d")) & (source["h"] == F.col("g")), "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             kept, size, found = [], [], [s or [] for s in b.column(2).to_pylist()]
             for t, removed in zip(raw_bytes(b, "text"), found, strict=True):
                 edges = [0, *(e for s in removed for e in (s["start"], s["end"])), len(t)]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import stage
+from salesmart.llm.common import slices, stage
 
 TARGETS = frozenset("you your yours yourself u ur they them he him she her we us du dich dir ihr euch sie er tu te toi vous il elle ils tú usted ustedes él ella ellos".split())
 NEGATIONS = frozenset("not never no nobody nothing without isn aren wasn don doesn nicht kein keine keinen nie niemals pas jamais sans nunca jamás ni sin".split())
@@ -148,7 +148,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
             words = list(count[0] | count[1])
             return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([count[1][w] for w in words], pa.int64()), pa.array([count[0][w] for w in words], pa.int64())], ["word", "bad", "good"])
 
-        for b in batches:
+        for b in slices(batches):
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 count[int(toxic > 0)].update(set(tokens(text)) - _BREAKS)
             if len(count[0]) + len(count[1]) > 500_000:
@@ -165,7 +165,7 @@ def _entry_contexts(training: DataFrame, candidates: set[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, list[str]] = {}
-        for b in batches:
+        for b in slices(batches):
             found = set()
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = [w for w in tokens(text) if w not in _BREAKS]
@@ -209,7 +209,7 @@ def learn_lexicon(training: DataFrame, max_entries: int = MAX_ENTRIES) -> dict[s
 def _feature_rows(docs: DataFrame, lexicon: dict[str, float], keep: list[str], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexer = Lexer(lexicon)
-        for b in batches:
+        for b in slices(batches):
             x = [list(features(lexer, t)) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(x, pa.list_(pa.int32()))], [*keep, "x"])
 
@@ -251,7 +251,7 @@ def score(docs: DataFrame, grammar: Grammar, *keep: str | Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexer = Lexer(grammar.lexicon)
-        for b in batches:
+        for b in slices(batches):
             x = [features(lexer, t) for t in b.column(b.num_columns - 1).to_pylist()]
             p = [grammar.probability(v) for v in x]
             hit = [[(k, c) for k, c in zip(PATTERNS, v, strict=False) if c] for v in x]
