@@ -1,13 +1,14 @@
 """A training-corpus pipeline over ``documents``: five stages, each one of the numbered operators.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.  All but the last
-return the columns of ``documents``.  Rows are told apart by a row number of their own, so repeated rows,
+return the columns of ``documents``.  Rows are told apart by their place in the files they are read from, so repeated rows,
 null ids and ids shared by different texts are handled like any others; null and empty texts are texts
 without letters, and leave at the first stage.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,15 @@ ROW = "__row"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a row number that stays fixed."""
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    """The documents with a name for each row: its place in the Parquet files they are read from.
+
+    Documents that are not read straight from files are written once to give their rows such places.
+    """
+    place = F.concat_ws("#", "_metadata.file_path", F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0"))
+    try:
+        return docs.withColumn(ROW, place)
+    except AnalysisException:
+        return stage(docs, "placed").withColumn(ROW, place)
 
 
 def _plain(numbered: DataFrame) -> DataFrame:
@@ -63,7 +71,7 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def sanitise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and terms that reveal it are replaced in the texts; every document stays."""
-    clean = pii.sanitise(docs)
+    clean = pii.sanitise(_numbered(docs), ROW).select(*docs.columns)
     return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
