@@ -90,4 +90,28 @@ QUERIES = {
     "op10_ppm": op10_ppm,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+runs AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS phrase
+         FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+hits AS (SELECT r.doc_id, r.p, r.k, f.item_id FROM runs r JOIN phrases f ON r.k = f.k AND r.phrase = f.phrase),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS pos FROM hits) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(l.n_items, 0) AS n_items,
+       sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id""",
+    "op7_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+}
