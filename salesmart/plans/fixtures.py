@@ -240,7 +240,7 @@ def existing_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The mart tables with known violations of every constraint (FIXTURES.md section 7), inputs of the checks."""
+    """The mart tables with known violations of every constraint (FIXTURES.md section 8), inputs of the checks."""
     from ..operators.dims import dim_date as calendar
     fact = fact_base(spark, sf_dir)
     ok, null = orderkey_of(F.col("transaction_id")), F.lit(None).cast("string")

@@ -754,7 +754,7 @@ SELECT 'dim_date', (SELECT COUNT(*) FROM vw_dim_date), (SELECT COUNT(*) FROM dim
                                 "cust_enforced", "dim_customer", "dim_product", "vw_dim_date", "dim_date")
 
 # ------------------------------------------------------------------ integrity checks
-# Dirty mart: the tables with known violations (FIXTURES.md section 7).
+# Dirty mart: the tables with known violations (FIXTURES.md section 8).
 OK = "TRY_CAST(substr(f.transaction_id, 2) AS BIGINT)"
 cte("bad_fact", f"""
 SELECT CASE WHEN {OK} % 61 = 0 THEN NULL ELSE f.transaction_id END AS transaction_id,
