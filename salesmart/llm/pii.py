@@ -130,7 +130,7 @@ def disclosing(docs: DataFrame, near: DataFrame, min_uses: int = MIN_USES, thres
     near: ``contexts`` of the corpus.  Uses are counted over all documents.  A term's uses near any value bound its
     corpus uses from below, so only terms that can still pass are counted in the whole corpus.
     """
-    uses = near.select("kind", "value", "term", "use").distinct()
+    uses = stage(near.select("kind", "value", "term", "use").distinct(), "pii-uses")
     pairs = uses.groupBy("kind", "value", "term").agg(F.count("*").alias("with"))
     beside = uses.select("term", "use").distinct().groupBy("term").agg(F.count("*").alias("least"))
     able = stage(pairs.filter(F.col("with") >= min_uses).join(beside, "term").filter(F.col("with") >= F.lit(threshold) * F.col("least")), "pii-pairs")
@@ -139,11 +139,11 @@ def disclosing(docs: DataFrame, near: DataFrame, min_uses: int = MIN_USES, thres
     words = docs.select(F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(_WORD), F.lit(0)).alias("w"))
     tokens = words.select("w", F.posexplode("w").alias("i", "term")).join(terms, "term").select("term", _use(F.col("w"), F.col("i") + 1).alias("use"))
     all_uses = tokens.distinct().groupBy("term").agg(F.count("*").alias("all"))
-    total = uses.agg(F.count("*").alias("total"))
+    total = uses.count()
     by_value = uses.groupBy("kind", "value").agg(F.count("*").alias("of_value"))
-    judged = able.join(all_uses, "term", "left").join(by_value, ["kind", "value"]).join(F.broadcast(total))  # total is one row
+    judged = able.join(all_uses, "term", "left").join(by_value, ["kind", "value"])
     posterior = F.col("with") / F.greatest("with", "least", F.coalesce("all", F.lit(0)))
-    bits = F.log2(F.col("posterior") / (F.col("of_value") / F.col("total")))
+    bits = F.log2(F.col("posterior") / (F.col("of_value") / F.lit(max(1, total))))
     return judged.withColumn("posterior", posterior).filter(F.col("posterior") >= threshold).select("kind", "value", "term", "posterior", bits.alias("bits"))
 
 
