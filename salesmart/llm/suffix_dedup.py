@@ -30,7 +30,7 @@ PLACE_BITS = 19  # a chunk of bytes that is hashed at once has at most 2 ** 20 p
 #: An anchor run with more different surroundings than this is finished by Spark instead of in one task.
 HOT = 20_000
 #: Sides up to this size (bytes in memory) are broadcast; beyond it the join shuffles.
-SIDE_BYTES = 32_000_000
+SIDE_BYTES = 64_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
