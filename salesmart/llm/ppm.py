@@ -9,6 +9,10 @@ counts (exclusion), down to a uniform guess over the symbols that no context has
 
 The symbols refused on the way down are exactly those seen in the next longer context, so totals
 after exclusion belong to a context and are computed once for the trie, not once for each symbol.
+
+A trie too large to send stays in its staged table, whole.  The frequent runs are sent with their
+probabilities, taken from the totals of all runs; all other runs of the documents meet the trie in Spark,
+dealt by the end of their context, so that a part holds every run of its longer contexts.
 """
 
 from __future__ import annotations
@@ -30,8 +34,10 @@ ORDER = 5
 BORDER = 256  # the symbol before and after a text
 SYMBOLS = 257
 BITS = 9
-#: The largest trie, in runs of order + 1 symbols, that is sent to every executor.  The rarest runs beyond it are pruned.
+#: The largest trie, in runs of order + 1 symbols, that is sent to every executor.  Of a larger one only frequent runs
+#: are sent; all others are looked up in the staged table, about ``PART_RUNS`` at a time.
 MAX_RUNS = 6_000_000
+PART_RUNS = 1_000_000
 #: The most frequent words that are sent to every executor; all other words meet their counts in a join.
 FREQUENT = 100_000
 FREQUENT_BYTES = 64
@@ -189,33 +195,40 @@ class Level:
 
 
 class Model:
-    """The trie as one ``Level`` for each context length 0 .. order."""
+    """The trie as one ``Level`` for each context length 0 .. order.
+
+    below: a model of the shorter contexts, made with ``open_top``; its levels are taken over and ``codes`` only give
+    the longer ones.  They must hold all runs of each of their contexts.
+    """
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER) -> None:
-        self.order, self.levels = order, []
-        shape: list[tuple] = []
-        for j in range(order + 1):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, below: Model | None = None, open_top: bool = False) -> None:
+        self.order, self.levels = order, list(below.levels) if below else []
+        last: tuple = below.last if below else ()
+        self.log_unseen = below.log_unseen if below else 0.0
+        distinct = np.zeros(0, np.int64)
+        for j in range(len(self.levels), order + 1):
             grams, n = _merge(codes & np.uint64((1 << BITS * (j + 1)) - 1), counts)
             context = grams >> np.uint64(BITS)
             first = np.nonzero(np.concatenate([[True], context[1:] != context[:-1]]))[0] if len(grams) else np.zeros(0, np.int64)
             distinct = np.diff(np.append(first, len(grams)))
             total = np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64)
-            shape.append((grams, n, context[first], first, total, distinct))
             contexts = Table(context[first])
             below_total = below_escape = np.zeros(len(first))
             if j:
                 low = self.levels[j - 1]
-                _, low_n, _, _, low_total, low_distinct = shape[j - 1]
+                low_n, low_total, low_distinct = last
                 seen = low_n[low.grams.find(grams & np.uint64((1 << BITS * j) - 1))]
                 parent = low.contexts.find(context[first] & np.uint64((1 << BITS * (j - 1)) - 1))
                 rest = low_total[parent] - np.add.reduceat(seen, first) if len(first) else np.zeros(0)
                 kinds = low_distinct[parent] - distinct if len(first) else np.zeros(0)
                 below_total, below_escape = _log(rest + kinds), _log(kinds / np.maximum(rest + kinds, 1))
+            else:
+                self.log_unseen = -np.log10(max(1, SYMBOLS - (distinct[0] if len(distinct) else 0)))
             self.levels.append(Level(Table(grams), np.log10(np.maximum(n, 1)), contexts, _log(total + distinct), _log(distinct / np.maximum(total + distinct, 1)), below_total, below_escape))
-        known = shape[0][5][0] if len(shape[0][5]) else 0
-        self.log_unseen = -np.log10(max(1, SYMBOLS - known))
+            last = n, total, distinct
+        self.last = last if open_top else ()
         top = self.levels[order]
-        owner = np.repeat(np.arange(len(shape[order][3])), shape[order][5])
+        owner = np.repeat(np.arange(len(distinct)), distinct)
         self.log_top = (top.log_count - top.log_total[owner]) if len(owner) else np.zeros(0)
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
@@ -266,9 +279,81 @@ class Model:
         return out
 
 
+class Frequent:
+    """Frequent runs with their log10 probabilities; the other runs of a text are handed back."""
+
+    def __init__(self, codes: np.ndarray, logs: np.ndarray, order: int) -> None:
+        self.place, self.logs, self.order = Table(codes), logs, order
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        out, left = np.zeros(len(texts)), []
+        for i, text in enumerate(texts):
+            codes = runs([text], self.order)[0]
+            place = self.place.find(codes)
+            out[i] = self.logs[place[place >= 0]].sum()
+            left.append(codes[place < 0].view(np.int64))
+        return out, left
+
+
+@dataclass
+class Part:
+    """What is sent of a trie beyond the bound, all of it counted over the whole trie."""
+
+    runs: int  # of the whole trie
+    codes: np.ndarray  # the frequent runs
+    logs: np.ndarray
+    length: int  # symbols of the longest shorter runs that fit
+    low_codes: np.ndarray
+    low_counts: np.ndarray
+
+
+def _part(trie: DataFrame, size: int, order: int, bound: int) -> Part:
+    """Frequent runs (as many whole counts as fit into ``bound``) and the shorter runs of the greatest length that fits."""
+    times = trie.groupBy("n").agg(F.count("*").alias("kinds")).orderBy(F.desc("n")).toArrow()
+    fits = int(np.searchsorted(np.cumsum(times.column("kinds").to_numpy()), bound, "right"))
+    least = times.column("n")[fits - 1].as_py() if fits else None
+    of = F.shiftright("code", BITS).alias("context")
+    contexts = trie.groupBy(of).agg((F.sum("n") + F.count("*")).alias("size"))
+    kept = trie.filter(F.col("n") >= least if fits else F.lit(False)).select("code", "n", of).join(contexts, "context")
+    top = kept.select("code", (F.log10("n") - F.log10("size")).alias("log")).toArrow()
+    for length in range(order, 0, -1):
+        short = trie.groupBy(F.col("code").bitwiseAND(F.lit((1 << BITS * length) - 1).cast("long")).alias("code")).agg(F.sum("n").alias("n"))
+        if length == 1 or short.count() <= bound:  # single symbols are at most SYMBOLS
+            break
+    low = short.toArrow()
+    return Part(size, top.column("code").to_numpy().view(np.uint64), top.column("log").to_numpy(), length, low.column("code").to_numpy().view(np.uint64), low.column("n").to_numpy())
+
+
+def _looked_up(asked: DataFrame, n_asked: int, trie: DataFrame, part: Part, order: int) -> DataFrame:
+    """Runs (code) -> (code, log): log10 of the probability of the last symbol, from all runs of the trie."""
+    shared = asked.sparkSession.sparkContext.broadcast((part.low_codes, part.low_counts, part.length))
+    token = uuid.uuid4().hex
+    # The last symbols of the context decide: what ends alike, longer contexts and shorter ones, comes into one part.
+    end = F.shiftright("code", BITS).bitwiseAND(F.lit((1 << BITS * part.length) - 1).cast("long"))
+    dealt = F.pmod(F.xxhash64(end), F.lit(1 + max(part.runs, n_asked) // PART_RUNS)).alias("part")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        import builtins
+
+        held = builtins.__dict__.setdefault("_llm_ppm", {})
+        asked_for = left.column("code").to_numpy()
+        log = np.zeros(len(asked_for))
+        if len(asked_for):
+            if token not in held:
+                held.clear()
+                codes, counts, length = shared.value
+                held[token] = Model(codes, counts, length - 1, open_top=True)
+            model = Model(right.column("code").to_numpy().view(np.uint64), right.column("n").to_numpy(), order, held[token])
+            for at in range(0, len(log), 300_000):
+                log[at:at + 300_000] = model.log_probabilities(asked_for[at:at + 300_000].view(np.uint64))
+        return pa.table({"code": pa.array(asked_for, pa.int64()), "log": pa.array(log)})
+
+    return asked.select("code", dealt).groupBy("part").cogroup(trie.select("code", "n", dealt).groupBy("part")).applyInArrow(run, "code long, log double")
+
+
 @dataclass
 class Fitted:
-    """What scoring needs: word totals, the frequent words' counts, the trie's runs, and the staged counts."""
+    """What scoring needs: word totals, the frequent words' counts, the trie's runs or the part that is sent, and the staged counts."""
 
     tokens: int
     distinct: int
@@ -277,6 +362,7 @@ class Fitted:
     counts: np.ndarray
     table: DataFrame
     order: int
+    part: Part | None = None
 
 
 def fit(training: DataFrame, order: int = ORDER, max_runs: int = MAX_RUNS, frequent: int = FREQUENT) -> Fitted:
@@ -285,12 +371,14 @@ def fit(training: DataFrame, order: int = ORDER, max_runs: int = MAX_RUNS, frequ
     n, v = table.filter("word is not null").agg(F.sum("n"), F.count("*")).first()
     top = table.filter("word is not null").orderBy(F.desc("n"), "word").limit(frequent).select("word", "n").toArrow()
     trie = table.filter("code is not null").select("code", "n")
-    if trie.count() > max_runs:
-        trie = trie.orderBy(F.desc("n"), "code").limit(max_runs)
-    runs_kept = trie.toArrow()
-    codes, counts = runs_kept.column("code").to_numpy().view(np.uint64), runs_kept.column("n").to_numpy()
+    size, words = trie.count(), dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True))
+    if size > max_runs:
+        none = np.zeros(0, np.int64)
+        return Fitted(n or 0, v, words, none.view(np.uint64), none, table, order, _part(trie, size, order, max_runs // 2))
+    all_runs = trie.toArrow()
+    codes, counts = all_runs.column("code").to_numpy().view(np.uint64), all_runs.column("n").to_numpy()
     by_code = np.argsort(codes)
-    return Fitted(n or 0, v, dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True)), codes[by_code], counts[by_code], table, order)
+    return Fitted(n or 0, v, words, codes[by_code], counts[by_code], table, order)
 
 
 def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
@@ -300,7 +388,9 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
     texts every token is unknown and every symbol has the same probability.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((fitted.frequent, fitted.codes, fitted.counts, fitted.order))
+    part, order = fitted.part, fitted.order
+    shared = spark.sparkContext.broadcast((fitted.frequent, part.codes, part.logs) if part else (fitted.frequent, fitted.codes, fitted.counts))
+    whole = part is None
     token = uuid.uuid4().hex  # names the model built once in each Python worker
     half = 0.5
     scale = fitted.tokens + half * (fitted.distinct + 1)
@@ -309,11 +399,11 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
         import builtins
         import math
 
-        frequent, codes, counts, order = shared.value
+        frequent, codes, counts = shared.value
         held = builtins.__dict__.setdefault("_llm_ppm", {})
         if token not in held:
             held.clear()
-            held[token] = Model(codes, counts, order), {w: math.log10((c + half) / scale) for w, c in frequent.items()}
+            held[token] = Model(codes, counts, order) if whole else Frequent(codes, counts, order), {w: math.log10((c + half) / scale) for w, c in frequent.items()}
         model, logs = held[token]
         rid = TaskContext.get().partitionId() << 36
         for b in slices(batches):
@@ -332,17 +422,23 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
                 tokens.append(len(words))
                 known.append(len(got))
             n = b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(rid, rid + n)), b.column(0), b.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model.scores(texts)), pa.array(rare, pa.list_(pa.binary()))],
-                                             ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+            scores, left = (model.scores(texts), [[]] * n) if whole else model.scores(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(rid, rid + n)), b.column(0), b.column(1), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(rare, pa.list_(pa.binary())), pa.array(left, pa.list_(pa.int64()))],
+                                             ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "left"])
             rid += n
 
     first = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("held_out").cast("boolean").alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>"), "lm-first")
+        run, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, left array<long>"), "lm-first")
     words = first.select("rid", F.explode("rare").alias("word")).groupBy("rid", "word").agg(F.count("*").alias("times"))
     counts = fitted.table.filter("word is not null").select("word", "n")
     met = words.join(counts, "word", "left").select("rid", "times", F.coalesce("n", F.lit(0)).alias("n"))
     log = F.log10((F.col("n") + F.lit(half)) / F.lit(scale))
     rest = met.groupBy("rid").agg(F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("also"))
-    joined = first.drop("rare").join(rest, "rid", "left")
+    joined = first.drop("rare", "left").join(rest, "rid", "left")
+    if part:
+        asked, n_asked = first.select("rid", F.explode("left").alias("code")), first.agg(F.sum(F.size("left"))).first()[0] or 0
+        logs = _looked_up(asked.select("code").distinct(), n_asked, fitted.table.filter("code is not null"), part, order)
+        spelt = asked.groupBy("rid", "code").agg(F.count("*").alias("times")).join(logs, "code").groupBy("rid").agg(F.sum(F.col("times") * F.col("log")).alias("spelt"))
+        joined = joined.join(spelt, "rid", "left").withColumn("score", F.col("score") + F.coalesce("spelt", F.lit(0.0)))
     return joined.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(fitted.tokens).cast("long").alias("train_tokens"),
                          (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")

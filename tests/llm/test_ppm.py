@@ -89,6 +89,20 @@ def test_awkward_rows(spark, docs_frame, prose, monkeypatch):
     assert ppm.score(docs_frame([]).selectExpr("doc_id", "text", "false as held_out"), fitted).collect() == []
 
 
+@pytest.mark.parametrize("max_runs", [3, 700, 4000])
+def test_trie_beyond_the_bound_keeps_all_runs(spark, docs_frame, prose, max_runs, monkeypatch):
+    monkeypatch.setattr(ppm, "PART_RUNS", 500)
+    training = [prose(i, 60) for i in range(12)] + [prose(1, 60)] * 5 + ["Ω漢字 だけ", None]
+    rows = [(1, prose(1, 60)), (2, prose(50, 80) + " Ω漢字"), (3, None), (4, "\x00ÿ"), (5, "だけ"), (5, "だけ"), (None, prose(2, 30))]
+    fitted = ppm.fit(docs_frame(list(enumerate(training))), max_runs=max_runs)
+    assert fitted.part and fitted.part.runs > max_runs and len(fitted.part.codes) <= max_runs // 2
+    _, want = expected(rows, training)
+    texts, got = dict(rows), ppm.score(docs_frame(rows).selectExpr("doc_id", "text", "true as held_out"), fitted).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id, texts[r.doc_id]][3], rel=1e-9)
+
+
 def test_probabilities_of_all_symbols_sum_to_one_at_most():
     texts = [b"abracadabra", b"abc", b"\xff\x00"]
     codes, counts = np.unique(np.concatenate([ppm.runs([t], 3)[0] for t in texts]), return_counts=True)
