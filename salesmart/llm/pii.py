@@ -1,19 +1,20 @@
 """Personal data: pattern spans, and information-theoretic sanitisation of terms that reveal them.
 
 Everything is DataFrame functions.  Base spans come from four fixed patterns.  Then the corpus says which
-ordinary terms give a protected entity away: for each distinct value and each term in its near context, the
-share of the term's distinct uses that stand by that value estimates P(entity | term), and log2 of
+ordinary terms give a protected entity away: for each distinct value and each term in a sentence with it, the
+share of the term's distinct uses that stand with that value estimates P(entity | term), and log2 of
 it over the entity's prior is the information a reader of the term gains.  Terms above the disclosure
-threshold become spans as well: generalised, or removed if they are near certain.  A use is a
-term with its two neighbours, so copies of a text are one use.
+threshold become spans wherever they stand, in all documents: generalised, or removed if they are near
+certain.  A use is a term with its two neighbours in the sentence, so copies of a text are one use.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stage
+from salesmart.llm.common import bounded, stage
 
 #: Kinds in their order, and the patterns of the contract.  Look-behinds and possessive
 #: quantifiers only keep the search linear; they match the same spans.
@@ -29,22 +30,21 @@ MAY_HAVE = {"email": r"@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = "term"
 
-CONTEXT = 100  # characters on either side of an entity
-NEAR = 8  # words of these that count
 MIN_USES = 3
 GENERALISE = 0.5
 REMOVE = 0.9
+#: Terms and row numbers are broadcast up to so many rows; beyond them the joins shuffle.
 TERM_ROWS = 500_000
+ROW_NUMBERS = 1_000_000
 
 
 def _found(text: Column, number: int, kind: str) -> Column:
-    """All pattern matches of one kind as structs: kind, k, gap (code points since the last match), value, text around."""
+    """All pattern matches of one kind as structs: kind, k, gap (code points since the last match), value."""
     pattern = F.lit(PATTERNS[kind])
     values, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, PATTERNS[kind], -1)
     at = lambda a, i: F.element_at(a, i + 1)
     one = lambda i: F.struct(
-        F.lit(number).alias("kind"), i.alias("k"), F.char_length(at(between, i)).alias("gap"), at(values, i).alias("value"),
-        F.right(at(between, i), F.lit(CONTEXT)).alias("before"), F.left(at(between, i + 1), F.lit(CONTEXT)).alias("after"))
+        F.lit(number).alias("kind"), i.alias("k"), F.char_length(at(between, i)).alias("gap"), at(values, i).alias("value"))
     each = F.transform(F.sequence(F.lit(0), F.size(values) - 1), one)
     has = F.col("text").contains("@") if kind == "email" else F.col("text").rlike(MAY_HAVE[kind])
     return F.when(has, F.when(F.size(values) > 0, each))
@@ -64,43 +64,36 @@ def _valid() -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, text) -> staged (rid, doc_id, kind, start, end, value, before, after).
+    """(rid, doc_id, text) -> staged (rid, doc_id, kind, start, end, value).
 
     One row of kind -1 for each document, and one for each valid match; start and end in code points.
-    ``before`` and ``after`` reach no further than the neighbouring matches.
     """
     text = F.col("text")
-    lists = [F.coalesce(_found(text, i, kind), F.array().cast("array<struct<kind:int,k:int,gap:int,value:string,before:string,after:string>>")) for i, kind in enumerate(KINDS)]
-    end = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("k"), F.lit(0).alias("gap"), F.lit("").alias("value"), F.lit("").alias("before"), F.lit("").alias("after")))
+    lists = [F.coalesce(_found(text, i, kind), F.array().cast("array<struct<kind:int,k:int,gap:int,value:string>>")) for i, kind in enumerate(KINDS)]
+    end = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("k"), F.lit(0).alias("gap"), F.lit("").alias("value")))
     whole = docs.select("rid", "doc_id", F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     raw = stage(whole.select("rid", "doc_id", F.inline(F.concat(end, *lists))), "pii-raw")
     of_kind = Window.partitionBy("rid", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = raw.withColumn("end", F.sum(F.col("gap") + F.char_length("value")).over(of_kind).cast("int")).withColumn("start", F.col("end") - F.char_length("value"))
     valid = placed.filter((F.col("kind") == -1) | _valid())
-    by_start = Window.partitionBy("rid", F.col("kind") >= 0).orderBy("start", "kind")
-    earlier = F.coalesce(F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    later = F.coalesce(F.lead("start").over(by_start), F.col("end") + CONTEXT)
-    clip = lambda c: F.greatest(F.lit(0), F.least(F.lit(CONTEXT), c))
-    cut = valid.withColumn("l", clip(F.col("start") - earlier)).withColumn("r", clip(later - F.col("end")))
-    return stage(cut.select("rid", "doc_id", "kind", "start", "end", "value", F.when(F.col("l") > 0, F.right("before", F.col("l"))).otherwise("").alias("before"),
-                            F.when(F.col("r") > 0, F.left("after", F.col("r"))).otherwise("").alias("after")), "pii-matches")
+    return stage(valid.select("rid", "doc_id", "kind", "start", "end", "value"), "pii-matches")
 
 
 _WORD = r"\p{L}{3,}"
 
 
-def _words(text: Column) -> Column:
-    """Words of a short context with their places: array of (at, word)."""
-    found, between = F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.split(text, _WORD, -1)
-    empty = F.array().cast("array<struct<at:int,word:string>>")
+#: Between two sentences; it takes no characters away.
+_SENTENCE = r"(?<=[.!?\x{2026}]\s)|(?<=[\n\x{3002}\x{FF01}\x{FF1F}])"
 
-    def step(acc: Column, i: Column) -> Column:
-        at = acc["p"] + F.char_length(F.element_at(between, i + 1))
-        word = F.element_at(found, i + 1)
-        return F.struct((at + F.char_length(word)).alias("p"), F.concat(acc["out"], F.array(F.struct(at.alias("at"), word.alias("word")))).alias("out"))
 
-    listed = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("p"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, listed).otherwise(empty)
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _words(part: Column) -> Column:
+    """Lower-cased words of a sentence, those of its email addresses left out."""
+    plain = F.when(part.contains("@"), F.regexp_replace(part, PATTERNS["email"], "@")).otherwise(part)
+    return F.transform(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), F.lower)
 
 
 def _use(words: Column, i: Column) -> Column:
@@ -109,35 +102,39 @@ def _use(words: Column, i: Column) -> Column:
     return F.xxhash64(side(i - 1), side(i), side(i + 1))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """Terms near each match: (rid, kind, value, term, start, end, use); the last ``NEAR`` words before and first ones after."""
-    spans = found.filter("kind >= 0").withColumn("value", F.lower("value"))
-    before, after = _words(F.col("before")), _words(F.col("after"))
-    whole_before = F.filter(before, lambda w: (w["at"] > 0) | (F.char_length("before") < CONTEXT))
-    whole_after = F.filter(after, lambda w: (w["at"] + F.char_length(w["word"]) < F.char_length("after")) | (F.char_length("after") < CONTEXT))
-    sides = spans.select("rid", "kind", "value", F.inline(F.array(
-        F.struct((F.col("start") - F.char_length("before")).alias("base"), F.slice(F.reverse(whole_before), 1, NEAR).alias("w")),
-        F.struct(F.col("end").alias("base"), F.slice(whole_after, 1, NEAR).alias("w")))))
-    ordered = sides.withColumn("w", F.array_sort("w")).withColumn("names", F.transform("w", lambda w: F.lower(w["word"])))
-    each = ordered.select("rid", "kind", "value", "base", "names", F.posexplode("w").alias("i", "x"))
-    return each.select("rid", "kind", "value", F.lower("x.word").alias("term"), (F.col("base") + F.col("x.at")).alias("start"),
-                       (F.col("base") + F.col("x.at") + F.char_length("x.word")).alias("end"), _use(F.col("names"), F.col("i") + 1).alias("use"))
+def _uses(parts: DataFrame, *keep: str) -> DataFrame:
+    """(part, columns ``keep``) -> these columns, term, use; one row for each word of each sentence."""
+    each = parts.select(*keep, _words(F.col("part")).alias("w")).select(*keep, "w", F.posexplode("w").alias("i", "term"))
+    return each.select(*keep, "term", _use(F.col("w"), F.col("i") + 1).alias("use"))
+
 
+def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Distinct uses of terms in a sentence with a match: (kind, value, term, use), whatever else stands between."""
+    spans = found.filter("kind >= 0").select("rid", "kind", F.lower("value").alias("value"), "start", "end")
+    holding = docs.select("rid", _text().alias("text")).join(bounded(spans.select("rid").distinct(), ROW_NUMBERS), "rid", "left_semi")
+    parts = holding.select("rid", F.posexplode(F.split("text", _SENTENCE, -1)).alias("k", "part"))
+    upto = F.sum(F.char_length("part")).over(Window.partitionBy("rid").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    begins = parts.select("rid", (upto - F.char_length("part")).cast("int").alias("at"), none("int", "kind"), none("string", "value"), "part")
+    # A match may reach over the end of a sentence; only its ends can have words beside them.
+    ends = spans.select("rid", F.explode(F.array("start", F.col("end") - 1)).alias("at"), "kind", "value", none("string", "part"))
+    by_place = Window.partitionBy("rid").orderBy("at", F.col("kind").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    beside = begins.union(ends).withColumn("part", F.last("part", ignorenulls=True).over(by_place)).filter("kind is not null")
+    return _uses(beside.select("kind", "value", "part").distinct(), "kind", "value").distinct()
 
-def disclosing(docs: DataFrame, near: DataFrame, min_uses: int = MIN_USES, threshold: float = GENERALISE) -> DataFrame:
+
+def disclosing(docs: DataFrame, uses: DataFrame, min_uses: int = MIN_USES, threshold: float = GENERALISE) -> DataFrame:
     """(kind, value, term, posterior, bits) of the terms whose uses in the corpus point to one protected value.
 
-    near: ``contexts`` of the corpus.  Uses are counted over all documents.  A term's uses near any value bound its
-    corpus uses from below, so only terms that can still pass are counted in the whole corpus.
+    uses: staged ``contexts`` of the corpus.  Uses are counted over all documents.  A term's uses beside any value bound
+    its corpus uses from below, so only terms that can still pass are counted in the whole corpus.
     """
-    uses = stage(near.select("kind", "value", "term", "use").distinct(), "pii-uses")
     pairs = uses.groupBy("kind", "value", "term").agg(F.count("*").alias("with"))
     beside = uses.select("term", "use").distinct().groupBy("term").agg(F.count("*").alias("least"))
     able = stage(pairs.filter(F.col("with") >= min_uses).join(beside, "term").filter(F.col("with") >= F.lit(threshold) * F.col("least")), "pii-pairs")
     terms = able.select("term").distinct()
     terms = F.broadcast(terms) if terms.limit(TERM_ROWS + 1).count() <= TERM_ROWS else terms
-    words = docs.select(F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(_WORD), F.lit(0)).alias("w"))
-    tokens = words.select("w", F.posexplode("w").alias("i", "term")).join(terms, "term").select("term", _use(F.col("w"), F.col("i") + 1).alias("use"))
+    tokens = _uses(docs.select(F.explode(F.split(_text(), _SENTENCE, -1)).alias("part"))).join(terms, "term")
     all_uses = tokens.distinct().groupBy("term").agg(F.count("*").alias("all"))
     total = uses.count()
     by_value = uses.groupBy("kind", "value").agg(F.count("*").alias("of_value"))
@@ -147,14 +144,46 @@ def disclosing(docs: DataFrame, near: DataFrame, min_uses: int = MIN_USES, thres
     return judged.withColumn("posterior", posterior).filter(F.col("posterior") >= threshold).select("kind", "value", "term", "posterior", bits.alias("bits"))
 
 
+def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Every place of the terms (term, posterior) in the documents: (rid, start, end, posterior)."""
+    terms = bounded(terms, TERM_ROWS)
+    words = docs.select("rid", F.posexplode(F.regexp_extract_all(_text(), F.lit(_WORD), F.lit(0))).alias("i", "word"))
+    hits = stage(words.withColumn("term", F.lower("word")).join(terms, "term").select("rid", "i", F.char_length("word").alias("n"), "posterior"), "pii-hits")
+    concerned = docs.select("rid", _text().alias("text")).join(bounded(hits.select("rid").distinct(), ROW_NUMBERS), "rid", "left_semi")
+    listed = hits.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("i", "n", "posterior"))).alias("hits"))
+    word, gap = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.split("text", _WORD, -1)
+    sizes = F.zip_with(word, F.slice(gap, F.lit(1), F.size(word)), lambda w, g: F.char_length(w) + F.char_length(g))
+    empty = F.array().cast("array<struct<start:int,end:int,posterior:double>>")
+
+    def step(acc: Column, hit: Column) -> Column:  # ``sizes`` is carried along, so it is made once a document
+        end = F.aggregate(F.slice(acc["sizes"], acc["next"] + 1, hit["i"] - acc["next"] + 1), acc["end"], lambda a, x: a + x)
+        place = F.struct((end - hit["n"]).alias("start"), end.alias("end"), hit["posterior"].alias("posterior"))
+        return F.struct(acc["sizes"].alias("sizes"), (hit["i"] + 1).alias("next"), end.alias("end"), F.concat(acc["out"], F.array(place)).alias("out"))
+
+    begin = F.struct(sizes.alias("sizes"), F.lit(0).alias("next"), F.lit(0).alias("end"), empty.alias("out"))
+    return concerned.join(listed, "rid").select("rid", F.inline(F.aggregate("hits", begin, step, lambda acc: acc["out"])))
+
+
 def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (rid, doc_id, text) -> staged matches (see ``matches``) and term spans (rid, start, end, action)."""
+    """Documents (rid, doc_id, text) -> staged matches (see ``matches``) and term spans (rid, start, end, action).
+
+    ``rid`` must name the same row whenever ``docs`` is read.
+    """
     found = matches(docs)
-    near = stage(contexts(found), "pii-contexts")
-    revealing = disclosing(docs, near)
-    hit = near.join(revealing, ["kind", "value", "term"])
-    action = F.when(F.max("posterior") >= REMOVE, "remove").otherwise("generalise")
-    return found, hit.groupBy("rid", "start", "end").agg(action.alias("action"))
+    uses = stage(contexts(docs, found), "pii-uses")
+    terms = stage(disclosing(docs, uses).groupBy("term").agg(F.max("posterior").alias("posterior")), "pii-terms")
+    emails = found.filter("kind = 0").select(F.col("rid").alias("r"), F.col("start").alias("a"), F.col("end").alias("z"))
+    free = occurrences(docs, terms).join(emails, (F.col("rid") == F.col("r")) & (F.col("start") < F.col("z")) & (F.col("end") > F.col("a")), "left_anti")
+    return found, free.select("rid", "start", "end", F.when(F.col("posterior") >= REMOVE, "remove").otherwise("generalise").alias("action"))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """The documents with a rid that is the same at every reading: the row's place in its Parquet file, written once if it has none."""
+    place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+    try:
+        return docs.withColumn("rid", place)
+    except AnalysisException:
+        return stage(docs, "pii-docs").withColumn("rid", place)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -162,8 +191,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no spans; repeated rows and null ids keep their rows; other columns are ignored.
     """
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    found, terms = spans(numbered)
+    found, terms = spans(_placed(docs.select("doc_id", "text")))
     names = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     base = found.filter("kind >= 0").select("rid", F.struct("start", F.col("kind").alias("number"), "end", names.alias("kind")).alias("s"))
     more = terms.select("rid", F.struct("start", F.lit(len(KINDS)).alias("number"), "end", F.lit(TERM).alias("kind")).alias("s"))

@@ -2,6 +2,8 @@ import collections
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from salesmart.llm import pii, queries
 
 SF = "/root/testdata/sf0.01"
@@ -66,6 +68,25 @@ def test_revealing_terms_become_spans_and_copies_do_not_count(spark, docs_frame,
     assert clean[0].rid == 7 and clean[0].uid == "w" and set(docs.columns) == set(pii.sanitise(docs).columns)
 
 
+def test_revealing_terms_become_spans_wherever_they_stand(spark, docs_frame, prose):
+    rows = [(i, f"{prose(i, 30)} Zanzibarian {prose(100 + i, 20)} boss@corp.example.com {prose(200 + i, 12)}") for i in range(8)]
+    away = f"\u0130漢字 mail a@b.cd.\nThen ZANZIBARIAN {prose(300, 40)} x"
+    rows += [(20, away), (21, f"{prose(301, 9)}. Zanzibarian"), (22, "Zanzibarians zanzibarian@x.yz")]
+    by = {r.doc_id: {(s.start, s.end) for s in r.spans if s.kind == "term"} for r in pii.report(docs_frame(rows)).collect()}
+    for i, text in rows[:-1]:
+        at = text.lower().index("zanzibarian") - len(text.lower()) + len(text) if i != 20 else text.index("ZANZIBARIAN")
+        assert (at, at + 11) in by[i]
+    assert by[22] == set()
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs_frame(rows)).collect()}
+    assert not any("zanzibarian" in clean[i].lower() for i, _ in rows[:-1])
+
+
+def test_a_term_counts_for_every_entity_of_its_sentence(spark, docs_frame):
+    docs = docs_frame([(1, "Other one. Jane Doefax, +49 30 1234567, jane@x.org or so! Next two")]).withColumn("rid", F.col("doc_id"))
+    got = {(r.kind, r.term) for r in pii.contexts(docs, pii.matches(docs)).collect()}
+    assert got == {(k, w) for k in (0, 3) for w in ("jane", "doefax")}
+
+
 def test_sanitise_keeps_the_rest_of_the_text(spark, docs_frame):
     got = {r.doc_id: r.text for r in pii.sanitise(docs_frame(AWKWARD)).collect()}
     assert got[1] is None and got[2] == "" and got[7] == "é漢 [EMAIL] 漢 [PHONE]" and got[8] == "9" * 30_000
