@@ -31,6 +31,8 @@ REPORTS = frozenset("said says say wrote writes called calls claimed claims quot
 THREATS = frozenset("kill hurt destroy shoot stab burn attack beat murder hang töten umbringen verletzen tuer frapper détruire matar golpear destruir".split())
 #: The lexicon's size bound, its beginnings' lengths and how much evidence an entry needs.
 MAX_ENTRIES = 20_000
+#: Candidates up to this number are sent to the tasks; more are joined as a table.
+SENT = 200_000
 BEGINNINGS = (4, 5, 6, 7)
 MIN_TEXTS = 5
 MIN_SHARE = 0.8
@@ -138,70 +140,92 @@ class Grammar:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def _word_counts(training: DataFrame) -> DataFrame:
-    """(text, toxic) -> (word, toxic texts, other texts) over all training texts, added up before the shuffle."""
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """(text) -> (word, n): how many of the texts hold the word, added up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = (Counter(), Counter())
+        count: Counter[str] = Counter()
 
         def rows() -> pa.RecordBatch:
-            words = list(count[0] | count[1])
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([count[1][w] for w in words], pa.int64()), pa.array([count[0][w] for w in words], pa.int64())], ["word", "bad", "good"])
+            return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["word", "n"])
 
         for b in slices(batches):
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                count[int(toxic > 0)].update(set(tokens(text)) - _BREAKS)
-            if len(count[0]) + len(count[1]) > 500_000:
+            for text in b.column(0).to_pylist():
+                count.update(set(tokens(text)) - _BREAKS)
+            if len(count) > 500_000:
                 yield rows()
-                count = (Counter(), Counter())
+                count.clear()
         yield rows()
 
-    got = training.mapInArrow(run, "word string, bad long, good long").filter(F.length("word") <= 64)
-    return got.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    got = texts.mapInArrow(run, "word string, n long").filter(F.length("word") <= 64)
+    return got.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _entry_contexts(training: DataFrame, candidates: set[str]) -> DataFrame:
-    """(entry, toxic, context) for each use of a candidate; a context is the words around, so copies count once."""
+def _distinct_uses(texts: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
+    """(text) and staged candidates (entry, most) -> (entry, ``name``): distinct surroundings of the entry's uses.
+
+    The surroundings are the words around, so copies count once.  Beyond ``most`` (null: no end) the number is only
+    known to be larger: a task that has seen so many of an entry hands on no more of it.
+    """
+    few = candidates.limit(SENT + 1).count() <= SENT
+    sent = dict(zip(*candidates.toArrow().select(["entry", "most"]).to_pydict().values(), strict=True)) if few else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, list[str]] = {}
+        seen: dict[str, set[int]] = {}
+        held, over = 0, set()
         for b in slices(batches):
             found = set()
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for text in b.column(0).to_pylist():
                 words = [w for w in tokens(text) if w not in _BREAKS]
                 for i, w in enumerate(words):
                     if w not in names:
                         if len(names) > 300_000:
                             names.clear()
-                        names[w] = [n for n in entry_names(w) if n in candidates]
+                        names[w] = [n for n in entry_names(w) if (len(n) <= 64 if sent is None else n in sent) and n not in over]
                     if names[w]:
                         around = xxhash.xxh64_intdigest(" ".join([*words[max(0, i - 2):i], "", *words[i + 1:i + 3]]).encode(), 1) >> 1
-                        found.update((n, int(toxic > 0), around) for n in names[w])
+                        found.update((n, around) for n in names[w])
+            done = len(over)
+            for n, around in found if sent else ():
+                if sent[n] is not None and n not in over:
+                    of = seen.setdefault(n, set())
+                    held += around not in of
+                    of.add(around)
+                    if len(of) > sent[n]:
+                        over.add(n)
+                        held -= len(seen.pop(n))
+            if len(over) > done:
+                names.clear()
+            if held > 1_000_000:  # forgetting only hands on more than needed
+                seen.clear()
+                held = 0
             if found:
-                entry, toxic, around = zip(*sorted(found), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(entry, pa.string()), pa.array(toxic, pa.int32()), pa.array(around, pa.int64())], ["entry", "toxic", "around"])
+                entry, around = zip(*sorted(found), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(entry, pa.string()), pa.array(around, pa.int64())], ["entry", "around"])
 
-    return training.mapInArrow(run, "entry string, toxic int, around long")
+    uses = texts.mapInArrow(run, "entry string, around long")
+    uses = uses if few else uses.join(candidates.select("entry"), "entry", "left_semi")
+    return uses.groupBy("entry", "around").agg(F.count("*").alias("n")).groupBy("entry").agg(F.count("*").alias(name))
 
 
 def learn_lexicon(training: DataFrame, max_entries: int = MAX_ENTRIES) -> dict[str, float]:
     """Words and word beginnings that stand mostly in toxic texts -> weight (log odds).
 
-    First all words of all training texts are counted; words and beginnings with enough toxic texts
-    become candidates.  Then each candidate's distinct surroundings are counted, so a word that only
-    occurs in many copies of one toxic text has one piece of evidence.
+    Words and beginnings of enough different toxic texts are candidates.  Their distinct surroundings are
+    counted, first in the toxic texts, then in the others, so a text with many copies is one piece of
+    evidence for either side.
     """
-    counts = stage(_word_counts(training), "toxic-words")
-    share = F.col("bad") / (F.col("bad") + F.col("good"))
-    enough = (F.col("bad") >= MIN_TEXTS) & (share >= MIN_SHARE)
+    toxic, other = training.filter("toxic > 0").select("text"), training.filter("toxic <= 0").select("text")
+    counts = stage(_word_counts(toxic.distinct()), "toxic-words")
     names = F.array(F.col("word"), *[F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("-"))) for n in BEGINNINGS])
-    entries = counts.select(F.explode(names).alias("entry"), "bad", "good").filter("entry is not null")
-    entries = entries.groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(enough)
-    candidates = entries.orderBy(F.desc("bad"), "entry").limit(4 * max_entries).select("entry").toArrow().column(0).to_pylist()
-    if not candidates:
-        return {}
-    uses = _entry_contexts(training, set(candidates)).groupBy("entry", "toxic", "around").agg(F.count("*").alias("n"))
-    proven = uses.groupBy("entry").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).filter(enough)
+    entries = counts.select(F.explode(names).alias("entry"), "n").filter("entry is not null").groupBy("entry").agg(F.sum("n").alias("n"))
+    candidates = stage(entries.filter(F.col("n") >= MIN_TEXTS).select("entry", F.lit(None).cast("long").alias("most")), "toxic-candidates")
+    # From so many other uses on an entry's share is too small.
+    most = F.floor(F.col("bad") * ((1 - MIN_SHARE) / MIN_SHARE)) + 1
+    bad = stage(_distinct_uses(toxic, candidates, "bad").filter(F.col("bad") >= MIN_TEXTS).withColumn("most", most), "toxic-uses")
+    both = bad.join(_distinct_uses(other, bad, "good"), "entry", "left").select("entry", "bad", F.coalesce("good", F.lit(0)).alias("good"))
+    proven = both.filter(F.col("bad") / (F.col("bad") + F.col("good")) >= MIN_SHARE)
     rows = proven.orderBy(F.desc("bad"), "entry").limit(max_entries).collect()
     return {r.entry: math.log((r.bad + 0.5) / (r.good + 0.5)) for r in rows}
 

@@ -1,5 +1,8 @@
+import math
 import zlib
 
+import pytest
+
 from salesmart.llm import queries, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -47,3 +50,21 @@ def test_copies_are_one_piece_of_evidence(spark, prose):
     copy = prose(7, 30)
     rows = [(copy, 1)] * 50 + [(prose(i, 30), 0) for i in range(50)]
     assert toxicity.fit(spark.createDataFrame(rows, "text string, toxic int")).lexicon == {}
+
+
+@pytest.mark.parametrize("sent", [toxicity.SENT, 3])
+def test_copies_of_a_clean_text_are_one_piece_of_evidence(spark, prose, monkeypatch, sent):
+    monkeypatch.setattr(toxicity, "SENT", sent)
+    rows = [(f"{prose(i, 10)} vileword {prose(500 + i, 10)}", 1) for i in range(60)]
+    rows += [(f"{prose(900, 10)} vileword {prose(901, 10)}", 0)] * 400
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon["vileword"] == lexicon["vile-"] == math.log(60.5 / 1.5)
+
+
+def test_no_candidate_is_left_out_before_its_uses_are_counted(spark, prose):
+    # More candidates than four times the lexicon: the many-copied common words come first by row count.
+    clean = [" ".join(f"usual{'abcdefghij'[k]} {prose(i * 10 + k, 2)}" for k in range(10)) for i in range(10)]
+    rows = [(t, 1) for t in clean for _ in range(50)] + [(t + f" {prose(i, 1)}", 0) for t in clean for i in range(9)]
+    rows += [(f"{prose(2000 + i, 4)} zyxwvuts {prose(3000 + i, 4)}", 1) for i in range(8)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), max_entries=1)
+    assert list(lexicon) == ["zyxw-"]
