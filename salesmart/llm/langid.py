@@ -17,15 +17,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import raw_bytes, slices
+from salesmart.llm.common import bounded, raw_bytes, slices, stage
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 UNDETERMINED = "und"
+PARTS = 64  # of a language's texts, for the draw
+CHOSEN = 1_000_000  # rows of the sample that are broadcast; a larger one is joined by a shuffle
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -147,20 +149,21 @@ class Predictor:
 
 
 def fit(labelled: DataFrame, per_language: int = 1500, max_bytes: int = 4096, seed: int = 7) -> Network | None:
-    """Train on a bounded sample: about ``per_language`` texts of each language, chosen by a hash of the text.
+    """Train on a bounded sample: ``per_language`` different texts of each language (all, if it has fewer), those of the smallest hashes.
 
     labelled: (text, lang); rows with a null or letterless text or a null lang are left out.  Of a long
     sampled text ``max_bytes`` from its middle are used for training.  None if nothing is left.
     """
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return None
-    span = 1 << 30
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(span * min(1, per_language / n)))])
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    texts = rows.select("lang", "h").distinct().withColumn("part", F.pmod("h", F.lit(PARTS)))
+    # The smallest of each part of a language, then of the language: no task sees all of a large language.
+    for keys in (["lang", "part"], ["lang"]):
+        texts = texts.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("h"))).filter(F.col("rank") <= per_language)
+    chosen = bounded(stage(texts.select("lang", "h"), "langid-sample"), CHOSEN)
     start = F.greatest(F.lit(1), (F.char_length("text") - max_bytes) / 2).cast("int")
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(span)) < share[F.col("lang")]).select(F.substring(F.col("text"), start, F.lit(max_bytes)).alias("text"), "lang")
-    got = picked.limit(2 * per_language * len(sizes)).toArrow().to_pydict()
+    picked = rows.join(chosen, ["lang", "h"]).select("lang", "h", F.substring(F.col("text"), start, F.lit(max_bytes)).alias("text"))
+    got = picked.groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang").toArrow().to_pydict()
     got = sorted(zip(got["text"], got["lang"], strict=True))
     if not got:
         return None

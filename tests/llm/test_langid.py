@@ -31,6 +31,17 @@ def test_awkward_rows(spark, docs_frame):
     assert {r.lang_pred for r in langid.identify(docs, None, "doc_id").collect()} == {"und"}
 
 
+def test_copies_neither_hide_nor_crowd_out_a_language(spark, docs_frame, prose, monkeypatch):
+    rows = [(i, f"copy {i % 4} of x", "x") for i in range(800)] + [(1000 + i, f"text {i} of y", "y") for i in range(100)] + [(2000, "rare z", "z")]
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, labels, seed: seen.update(texts=texts, labels=labels))
+    langid.fit(docs_frame(rows), per_language=6)
+    assert [seen["labels"].count(k) for k in "xyz"] == [4, 6, 1] and len(set(seen["texts"])) == 11
+    first = dict(seen)
+    langid.fit(docs_frame(rows[::-1]), per_language=6)
+    assert seen == first
+
+
 def test_pair_tables_give_the_network_s_own_answers(spark):
     texts = [bytes([65 + i % 26, 97 + i % 20, 32]) * (10 + i) for i in range(40)]
     net = langid.train(texts, ["p" if i % 2 else "q" for i in range(40)], epochs=2)
