@@ -1,4 +1,4 @@
-"""Training-data operators: ten document and vector operators, and the queries that apply them.
+"""Training-data operators: document, vector and conversation operators, and the queries that apply them.
 
 Nothing outside this package imports it.  Task code is pickled by value, so executors need
 only the public libraries (numpy, pyarrow, xxhash, tokenizers), not this package on their path.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, simhash, suffix_dedup, topk, toxicity
+from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, sharding, simhash, suffix_dedup, topk, toxicity
 from salesmart.llm.common import bounded, remainder, table
 
 #: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
@@ -77,6 +77,10 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(docs, ppm.fit(docs.filter("not held_out")))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_langid": op2_langid,
@@ -88,11 +92,21 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_ppm": op10_ppm,
+    "op13_sharding": op13_sharding,
 }
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
+#: CRC-32 (reflected polynomial 0xEDB88320), which DuckDB lacks: its table of 256 entries from its rule, then byte by byte.
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))))"
+
+
+def _crc32(text: str) -> str:
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
@@ -114,4 +128,11 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_z
       FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op13_sharding": f"""
+WITH d AS (SELECT doc_id, text_crc32, strlen(text) + 8 AS size, sha256(text) AS print
+           FROM (SELECT doc_id, text, {_crc32('text')} AS text_crc32 FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents), (SELECT {_CRC_TABLE} AS t))),
+placed AS (SELECT *, sum(size) OVER (ORDER BY print, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER () AS total FROM d),
+cut AS (SELECT *, CAST(((2 * start + size) * 24) // (2 * total) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut""",
 }
