@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, sharding, simhash, suffix_dedup, topk, toxicity
+from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, prefix_trie, sharding, simhash, suffix_dedup, topk, toxicity
 from salesmart.llm.common import bounded, remainder, table
 
 #: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
@@ -77,6 +77,10 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(docs, ppm.fit(docs.filter("not held_out")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.shared_openings(prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_ppm": op10_ppm,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_sharding": op13_sharding,
 }
 
@@ -128,6 +133,23 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_z
       FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op11_prefix_trie": f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+named AS (SELECT *, sha256(strlen(role) || ':' || role || text) || '/' || len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS id FROM turns),
+own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, role, id) AS ids FROM named GROUP BY conv_id),
+opened AS (SELECT conv_id, ids, {_crc32('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM own, (SELECT {_CRC_TABLE} AS t)),
+rebuilt AS (SELECT o.conv_id, list_concat(coalesce(list_slice(b.ids, 1, h), []), coalesce(list_slice(o.ids, h + 1, len(o.ids)), [])) AS ids
+            FROM opened o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+prefixes AS (SELECT conv_id, ids, d, array_to_string(list_slice(ids, 1, d), ' ') AS path FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, arg_min(ids, conv_id) AS ids, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = len(ids)), '') AS ends
+          FROM prefixes GROUP BY path, d),
+linked AS (SELECT *, CASE WHEN d > 0 THEN array_to_string(list_slice(ids, 1, d - 1), ' ') END AS up, CASE WHEN d > 0 THEN (n - 1) * CAST(split_part(ids[d], '/', 2) AS BIGINT) ELSE 0 END AS saved FROM nodes),
+kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY up, d),
+whole AS (SELECT l.*, coalesce(j.n, 0) AS n_children FROM linked l LEFT JOIN kids j ON j.up = l.path AND j.d = l.d),
+sums AS (SELECT array_to_string(list_slice(ids, 1, k), ' ') AS path, k AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+         FROM (SELECT *, unnest(range(d + 1)) AS k FROM whole) GROUP BY 1, 2)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN sums s ON s.path = w.path AND s.d = w.d LEFT JOIN whole p ON p.path = w.up AND p.d = w.d - 1""",
     "op13_sharding": f"""
 WITH d AS (SELECT doc_id, text_crc32, strlen(text) + 8 AS size, sha256(text) AS print
            FROM (SELECT doc_id, text, {_crc32('text')} AS text_crc32 FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents), (SELECT {_CRC_TABLE} AS t))),
