@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import decontaminate, langid, licenses, packing, pii, ppm, prefix_trie, sharding, simhash, suffix_dedup, topk, toxicity
+from salesmart.llm import conversation_repair, decontaminate, langid, licenses, packing, pii, ppm, prefix_trie, sharding, simhash, suffix_dedup, topk, toxicity
 from salesmart.llm.common import bounded, remainder, table
 
 #: Labels are broadcast up to this many rows (16 bytes each); beyond it they are joined by a shuffle.
@@ -81,6 +81,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.shared_openings(prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    report = conversation_repair.repair_report(conversation_repair.damaged(turns)).withColumnRenamed("conv_id", "found_id")
+    ids = turns.select("conv_id").distinct()
+    whole = ids.join(report, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -97,6 +106,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_ppm": op10_ppm,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_sharding": op13_sharding,
 }
 
