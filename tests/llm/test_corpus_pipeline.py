@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered_and_named():
     import __spark_entry__ as entry
 
-    assert "pipeline" in entry.queries() and [n.split("_")[0] for n in entry.queries() if re.match(r"op\d+_", n)] == [f"op{i}" for i in range(1, 11)]
+    assert "pipeline" in entry.queries() and [n.split("_")[0] for n in entry.queries() if re.match(r"op\d+_", n)] == [f"op{i}" for i in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 
