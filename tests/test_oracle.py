@@ -6,7 +6,7 @@ import decimal
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from mart_data import SF_SMALL
 from salesmart.plans.registry import QUERIES
 
 KEYS = sorted(QUERIES)

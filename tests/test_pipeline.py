@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from mart_data import SF_SMALL
 from salesmart.operators import customers as CU
 from salesmart.operators import dedup as DD
 from salesmart.operators.sales import SalesRun

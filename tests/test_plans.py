@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from mart_data import SF_SMALL
 from salesmart.operators import joins as J
 from salesmart.plans import fixtures as X
 from salesmart.plans import registry as R

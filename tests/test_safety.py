@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from mart_data import SF_SMALL
 from salesmart import schemas as SC
 from salesmart import session as S
 from salesmart.operators import checks as CK

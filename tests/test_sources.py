@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from mart_data import SF_SMALL
 from salesmart.plans import fixtures as X
 from salesmart.schemas import RAW_SALES_COLUMNS
 
