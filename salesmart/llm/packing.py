@@ -5,8 +5,8 @@ remaining short pieces are dealt by a hash to blocks of a few thousand; each blo
 several islands.  An individual is a list of bins.  Crossover injects whole well-filled bins of one
 parent into the other, removes the bins that now hold duplicates, and best-fits the displaced
 pieces.  Between epochs each island's elite migrates to the next island of its block.  Bins of a
-round that are not well filled are unpacked and evolved again together in a smaller round, until
-one block is left.
+round that are not well filled are unpacked, dealt to new blocks and evolved again in a smaller round,
+until one block is left or a round saves no sequence.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import slices, stage
 
 SEQUENCE = 2048
-CACHE_ENTRIES = 200_000
 BLOCK = 2000
 ISLANDS = 2
 EPOCHS = 2
@@ -36,11 +35,8 @@ WELL_FILLED = 0.995
 class Encoder:
     """Byte-level BPE ids of whole texts as little-endian uint32 bytes.
 
-    A single space between two visible characters is always a border of this tokenizer's first
-    split and belongs to what follows, so a text without other white space beside a space is a
-    concatenation of " word" units, and the ids of units are kept in a bounded cache.  Units and all
-    other texts are encoded by the rank form of the same vocabulary; a text that names a special token
-    goes through the tokenizers file itself.
+    Texts are encoded by the rank form of the tokenizer's vocabulary, which gives the same ids in a
+    fraction of the time; a text that names a special token goes through the tokenizers file itself.
     """
 
     def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str) -> None:
@@ -51,10 +47,6 @@ class Encoder:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_path, "rb"))}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.path, self.whole = tokenizer_path, None
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if "<|" in text:
@@ -63,26 +55,11 @@ class Encoder:
 
                 self.whole = Tokenizer.from_file(self.path)
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        units = text.split(" ")
-        if not all(units) or any(u[0].isspace() or u[-1].isspace() for u in units):
-            return self._ids(text)
-        get, cache = self.cache.get, self.cache
-        out = [get(u) for u in units]
-        out[0] = self._ids(units[0])
-        if None in out:
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-            for i, (u, ids) in enumerate(zip(units, out, strict=True)):
-                if ids is None:
-                    ids = get(u) or self._ids(" " + u)
-                    if len(u) <= 64:
-                        cache[u] = ids
-                    out[i] = ids
-        return b"".join(out)
+        return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
 
 
 def _encoder(tokenizer_path: str, ranks_path: str, pattern: str) -> Encoder:
-    """One encoder for each Python worker, so that its cache serves all of its tasks."""
+    """One encoder for each Python worker, so that its tasks load the vocabulary once."""
     import builtins
 
     held = builtins.__dict__.setdefault("_llm_encoders", {})
@@ -104,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str,
         tail = np.array([end_id], "<u4").tobytes()
         for b in slices(batches):
             rows: list[tuple] = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for doc, text in enumerate(b.column(1).to_pylist()):
                 ids = (enc.encode(text) if text else b"") + tail
                 n = len(ids) // 4
                 cuts = [0, *range(n % sequence or sequence, n + 1, sequence)] if n > sequence else [0, n]
@@ -112,11 +89,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str,
                     rows.append((uid, doc, k, a, z - a, zlib.crc32(ids[a * 4:z * 4])))
                     uid += 1
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                                                 ["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
+                uids, of, *rest = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))
+                yield pa.RecordBatch.from_arrays([uids, b.column(0).take(of), *rest], ["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "uid long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
+        run, f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
 # ---- one block: bins are lists of item numbers -------------------------------------------------
@@ -191,7 +168,7 @@ def evolve(length: list[int], size: int, seeds: list[list[list[int]]], seed: int
     return ranked[0][3]
 
 
-def _pack_block(size: int, epoch: int):
+def _pack_block(size: int, turn: int, epoch: int):
     def run(key: tuple, t: pa.Table) -> pa.Table:
         """One island of one block: rows (uid, length, bin, origin); origin 0 own elite, 1 immigrants, null none yet."""
         pdf = t.to_pandas().sort_values(["origin", "uid"], kind="stable")
@@ -206,7 +183,7 @@ def _pack_block(size: int, epoch: int):
                     bins.setdefault(b, []).append(number[u])
                 seeds.append(list(bins.values()))
         block, island = int(key[0].as_py()), int(key[1].as_py())
-        best = evolve(length, size, seeds, seed=hash((block, island, epoch)))
+        best = evolve(length, size, seeds, seed=hash((block, island, turn, epoch)))
         rows = [(int(uids[i]), length[i], k, off) for k, b in enumerate(best) for i, off in zip(b, np.cumsum([0, *[length[i] for i in b]])[:-1].tolist(), strict=True)]
         fit = -_fitness(best, length, size)
         u, n, k, off = zip(*rows, strict=True)
@@ -220,19 +197,21 @@ def _pack_block(size: int, epoch: int):
 _ELITE = "block long, island int, uid long, length long, bin long, offset long, bins long, unfit double"
 
 
-def pack(items: DataFrame, size: int = SEQUENCE, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS, max_rounds: int = 4) -> DataFrame:
-    """Items (uid unique, length 1 .. size) -> (uid, sequence_id, offset); sequence_id is the smallest uid in the bin."""
+def pack(items: DataFrame, size: int = SEQUENCE, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """Items (uid unique, length 1 .. size) -> (uid, sequence_id, offset); sequence_id is the smallest uid in the bin.
+
+    A round deals the items to blocks by a hash of their own; what lies in badly filled bins goes into the
+    next one.  The last round is that of a single block, or one that leaves as many bins as its items filled before.
+    """
     done: DataFrame | None = None
     left = items.select("uid", "length")
-    for turn in range(max_rounds):
-        n = left.count()
-        if not n:
-            break
+    turn, bins_before = 0, None
+    while n := left.count():
         blocks = -(-n // block)
-        elite = left.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(blocks))).withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(islands)])))
+        elite = left.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(blocks))).withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(islands)])))
         elite = elite.select("block", "island", "uid", "length", F.lit(None).cast("long").alias("bin"), F.lit(-1).alias("origin"))
         for epoch in range(epochs):
-            run = elite.groupBy("block", "island").applyInArrow(_pack_block(size, epoch), _ELITE)
+            run = elite.groupBy("block", "island").applyInArrow(_pack_block(size, turn, epoch), _ELITE)
             solved = stage(run, f"pack-{turn}-{epoch}")
             own = solved.select("block", "island", "uid", "length", "bin", F.lit(0).alias("origin"))
             guests = solved.select("block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), "uid", "length", "bin", F.lit(1).alias("origin"))
@@ -240,14 +219,16 @@ def pack(items: DataFrame, size: int = SEQUENCE, block: int = BLOCK, islands: in
         best = solved.groupBy("block").agg(F.min(F.struct("bins", "unfit", "island")).alias("b")).select("block", F.col("b.island").alias("island"))
         won = solved.join(best, ["block", "island"])
         bins = won.groupBy("block", "bin").agg(F.min("uid").alias("sequence_id"), F.sum("length").alias("fill"))
-        placed = won.join(bins, ["block", "bin"]).select("uid", "length", "sequence_id", "offset", "fill")
-        if blocks == 1 or turn == max_rounds - 1:
+        placed = stage(won.join(bins, ["block", "bin"]).select("uid", "length", "sequence_id", "offset", "fill"), f"packed-{turn}")
+        poor = F.col("fill") < WELL_FILLED * size
+        # Each bin has one piece at offset 0.
+        bins_now, poor_now = placed.filter("offset = 0").agg(F.count("*"), F.count_if(poor)).first()
+        if blocks == 1 or bins_before is not None and bins_now >= bins_before:
             done = placed if done is None else done.union(placed)
             break
-        placed = stage(placed, f"packed-{turn}")
-        kept = placed.filter(F.col("fill") >= WELL_FILLED * size)
+        kept = placed.filter(~poor)
         done = kept if done is None else done.union(kept)
-        left = placed.filter(F.col("fill") < WELL_FILLED * size).select("uid", "length")
+        left, bins_before, turn = placed.filter(poor).select("uid", "length"), poor_now, turn + 1
     out = done if done is not None else items.select("uid", "length", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("fill")).limit(0)
     return out.select("uid", "sequence_id", "offset")
 

@@ -66,3 +66,41 @@ def test_crossover_keeps_every_item_once():
     other = packing._fresh(list(range(300)), length, 100)
     child = packing._cross(down, other, length, 100, rng)
     assert sorted(i for b in child for i in b) == list(range(300)) and all(sum(length[i] for i in b) <= 100 for b in child)
+
+
+def sequences(rows, size):
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(bins)
+
+
+def test_badly_filled_bins_of_all_blocks_meet_until_one_block_is_left(spark):
+    import random
+
+    rng = random.Random(2)
+    items = [(i, rng.choice([37, 41, 53, 61, 23, 11])) for i in range(3000)]
+    got = packing.pack(spark.createDataFrame(items, "uid long, length long"), 100, block=12)
+    rows = got.join(spark.createDataFrame(items, "uid long, length long"), "uid").collect()
+    assert len(rows) == 3000 and {r.uid for r in rows} == set(range(3000))
+    bound, alone = -(-sum(n for _, n in items) // 100), 3000 / 12 * 0.5
+    assert sequences(rows, 100) <= bound + alone / 3  # blocks left alone waste about half a bin each
+
+
+def test_rounds_end_when_nothing_can_be_saved(spark):
+    items = spark.createDataFrame([(i, 60) for i in range(500)], "uid long, length long")
+    rows = packing.pack(items, 100, block=20).join(items, "uid").collect()
+    assert len(rows) == 500 and sequences(rows, 100) == 500
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a-1", "one two"), ("b", None), (None, "three")], "doc_id string, text string")
+    got = packing.pack_documents(docs)
+    assert dict(got.dtypes)["doc_id"] == "string"
+    check(got.collect(), [("a-1", "one two"), ("b", None), (None, "three")])
