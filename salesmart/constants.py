@@ -20,7 +20,7 @@ REGION_PLACEHOLDERS = ("", "None", "nan", "NaN")
 UNKNOWN = "Unknown"
 
 # Characters removed by "strip" (Python's ASCII whitespace set).
-STRIP_CHARS = " \t\n\r\f\u000b"
+STRIP_CHARS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # ---------------------------------------------------------------------------
 # Bad-data log vocabulary (source, column, issue, note).

@@ -1,73 +1,90 @@
-"""Date parsing: a fixed list of formats, then a general fallback.
+"""Date parsing: the fixed formats, then a general parser, both by the value's layout.
 
-Each format is tried only on strings of its shape (a cheap regex test):
-a failed ``try_to_timestamp`` costs an exception inside the JVM, so letting
-every row try every format would dominate the cleaning pass.
+A value's layout is its signature: month names and digit runs replaced by a letter for their class,
+separators kept.  One lookup in a table says how to turn its parts into year-month-day, so no format is
+tried on values of another layout.  ``try_cast`` validates the calendar day without raising.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import chain
+
 from pyspark.sql import Column, functions as F
 
 from .text import strip
 
-D12 = r"\d{1,2}"
-WORD = r"[A-Za-z]+"
-
-# Fixed value: the month-name format among the first four, with the shape a value must have to be tried.
-DAY_MONTH_NAME = ("d MMM yyyy", rf"^{D12} {WORD} \d{{4}}$")
-# Fallbacks of the general parser, tried after the first four and the date-time prefixes.
-FALLBACK_FORMATS = (
-    ("M/d/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
-    ("d/M/yyyy", rf"^{D12}/{D12}/\d{{4}}$"),
-    ("M-d-yyyy", rf"^{D12}-{D12}-\d{{4}}$"),
-    ("d MMMM yyyy", rf"^{D12} {WORD} \d{{4}}$"),
-    ("MMM d yyyy", rf"^{WORD} {D12} \d{{4}}$"),
-    ("MMMM d yyyy", rf"^{WORD} {D12} \d{{4}}$"),
-    ("yyyyMMdd", r"^\d{8}$"),
-)
-
-
-def _try(c: Column, pattern: str, shape: str) -> Column:
-    return F.when(c.rlike(shape), F.to_date(F.try_to_timestamp(c, F.lit(pattern))))
-
-
-def _as_iso(c: Column, shape: str, to_iso: str | None) -> Column:
-    """A numeric layout rewritten to ``yyyy-M-d`` with one regex, then read by ``try_cast``.
-
-    ``try_cast(string as date)`` validates the calendar day without raising,
-    so a failed attempt costs no exception; the shape test keeps values of
-    other layouts (and bare years) away from it.
-    """
-    iso = c if to_iso is None else F.regexp_replace(c, shape, to_iso)
-    return F.when(c.rlike(shape), iso.try_cast("date"))
-
-
-# The numeric layouts, and their rewrite to year-month-day.  Of a date-time only the
-# leading date is read; time and zone are ignored, never converted.
-DMY_DASH = (rf"^({D12})-({D12})-(\d{{4}})$", "$3-$2-$1")
-YMD_SLASH = (rf"^(\d{{4}})/({D12})/({D12})$", "$1-$2-$3")
-YMD_DASH = (rf"^\d{{4}}-{D12}-{D12}$", None)
-ISO_PREFIX = (rf"^(\d{{4}})-({D12})-({D12})[T ].*$", "$1-$2-$3")
-SLASH_PREFIX = (rf"^(\d{{4}})/({D12})/({D12})[T ].*$", "$1-$2-$3")
+# English month names; the part in brackets may be missing.
+MONTHS = ("jan(uary)?", "feb(ruary)?", "mar(ch)?", "apr(il)?", "may", "june?", "july?", "aug(ust)?", "sep(t|tember)?", "oct(ober)?", "nov(ember)?", "dec(ember)?")
+# Fixed value: years of two digits below this belong to the 2000s (its tens and units as a pattern), the others to the 1900s.
+TWO_DIGITS_2000 = r"[0-6]\d|7[0-4]"
+
+# Signature -> order of its three parts, an alternative for days that the first order does not have.
+# Y is a number of four digits, N one of one or two, E one of eight, m a word.
+LAYOUTS = {
+    "N-N-Y": ("dmy", "mdy"),  # the first fixed format reads the day first
+    "Y/N/N": ("ymd", None), "Y-N-N": ("ymd", None), "Y.N.N": ("ymd", None), "Y N N": ("ymd", None),
+    "N m Y": ("dmy", None), "N-m-Y": ("dmy", None), "N/m/Y": ("dmy", None), "N.m.Y": ("dmy", None), "N m, Y": ("dmy", None),
+    "m N Y": ("mdy", None), "m N, Y": ("mdy", None), "m-N-Y": ("mdy", None), "m/N/Y": ("mdy", None), "m. N, Y": ("mdy", None),
+    "Y m N": ("ymd", None), "Y-m-N": ("ymd", None), "Y/m/N": ("ymd", None),
+    "N/N/Y": ("mdy", "dmy"), "N.N.Y": ("mdy", "dmy"),  # the general parser reads the month first
+    "N/N/N": ("mdy", "dmy"), "N-N-N": ("mdy", "dmy"), "N.N.N": ("mdy", "dmy"),
+    "N m N": ("dmy", None), "N-m-N": ("dmy", None), "m N, N": ("mdy", None),
+}
+# Fixed value: a time of day behind a date, which is not converted.
+TIME = r"[T ]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?( ?[AaPp]\.?[Mm]\.?)?( ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+# Fixed value: behind a year-first date anything after T or a space is left out.
+YEAR_FIRST_TAIL = r"^(\d{4}([-/])\d{1,2}\2\d{1,2})[T ].*$"
+
+
+#: How three parts are put into year-month-day.
+ORDERS = {"dmy": "$3-$2-$1", "mdy": "$3-$1-$2", "ymd": "$1-$2-$3"}
+PARTS = r"^#?(\d+)[-/., ]+#?(\d+)[-/., ]+#?(\d+)$"
+
+
+def _named(s: Column) -> Column:
+    """Month names as # and their number."""
+    numbered = reduce(lambda c, m: F.regexp_replace(c, rf"(?i)\b{m[1]}\b", f"#{m[0]}"), enumerate(MONTHS, 1), s)
+    return F.when(s.rlike("[A-Za-z]{3}"), numbered).otherwise(s)
+
+
+def _signature(dated: Column) -> Column:
+    """Month names -> m, numbers of eight, four, one or two digits -> E, Y, N; other runs of digits stay."""
+    out = F.regexp_replace(dated, r"#\d+", "m")
+    for digits, letter in ((r"\d{8}", "E"), (r"\d{4}", "Y"), (r"\d{1,2}", "N")):
+        out = F.regexp_replace(out, rf"(?<!\d){digits}(?!\d)", letter)
+    return out
+
+
+def _table(which: int) -> Column:
+    """Signature -> replacement of the parts; of a value with a time of day the signature ends with t."""
+    rows = {}
+    for signature, orders in LAYOUTS.items():
+        timed = orders[::-1] if signature == "N-N-Y" else orders  # the fixed format takes no time of day
+        for key, order in ((signature, orders[which]), (f"{signature}t", timed[which])):
+            if order:
+                rows[key] = ORDERS[order]
+    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in rows.items()))
 
 
 def parse_sales_date(c: Column) -> Column:
     """Parse a raw date string to a ``date``; null when nothing matches.
 
-    Numeric layouts go through ``try_cast``; month-name layouts and the
-    remaining fallbacks use Spark's parser, but only for strings of their shape.
+    Day-first ``dd-mm-yyyy`` is one of the fixed formats, which take no time of day; with one, and in
+    all other layouts of three numbers without a leading year, the month comes first unless there is no such month.
     """
-    s = strip(c)
-    return F.coalesce(
-        _as_iso(s, *DMY_DASH),
-        _as_iso(s, *YMD_SLASH),
-        _try(s, *DAY_MONTH_NAME),
-        _as_iso(s, *YMD_DASH),
-        _as_iso(s, *ISO_PREFIX),
-        _as_iso(s, *SLASH_PREFIX),
-        *[_try(s, p, shape) for p, shape in FALLBACK_FORMATS],
-    )
+    named = _named(strip(c))
+    dated = F.regexp_replace(F.regexp_replace(named, YEAR_FIRST_TAIL, "$1"), TIME, "")
+    signature = F.concat(_signature(dated), F.when(named.rlike(TIME), "t").otherwise(""))
+
+    def read(which: int) -> Column:
+        iso = F.regexp_replace(dated, F.lit(PARTS), F.try_element_at(_table(which), signature))
+        for year, whole in ((rf"^({TWO_DIGITS_2000})-", "20$1-"), (r"^(\d\d)-", "19$1-"), (r"^(\d)-", "200$1-")):
+            iso = F.regexp_replace(iso, year, whole)
+        return iso.try_cast("date")
+
+    plain = F.regexp_replace(dated, r"^(\d{4})(\d\d)(\d\d)$", "$1-$2-$3")
+    return F.coalesce(read(0), read(1), F.when(dated.rlike(r"^\d{8}$"), plain.try_cast("date")))
 
 
 def date_key_of(d: Column) -> Column:

@@ -10,7 +10,7 @@ from ..constants import STRIP_CHARS
 
 
 def strip(c: Column | str) -> Column:
-    """Python-style ``str.strip()``: remove leading/trailing ASCII whitespace."""
+    """Python-style ``str.strip()``: remove leading and trailing white space, Unicode's included."""
     col = F.col(c) if isinstance(c, str) else c
     return F.btrim(col, F.lit(STRIP_CHARS))
 

@@ -126,7 +126,9 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("l_discount").cast("decimal(4,2)").cast("string")).alias("discount"),
         F.when(ok % 101 == 0, null).when(ok % 103 == 0, F.lit("next week"))
          .when(ok % 107 == 0, text("yyyy-MM-dd", F.add_months(day, 240))).when(ok % 109 == 0, text("dd MMM yyyy"))
-         .when(ok % 113 == 0, text("MM/dd/yyyy"))
+         .when(ok % 113 == 0, text("MM/dd/yyyy")).when(ok % 127 == 0, text("MMM d, yyyy")).when(ok % 131 == 0, text("dd-MMM-yyyy"))
+         .when(ok % 137 == 0, text("M/d/yy")).when(ok % 139 == 0, text("yyyy.MM.dd")).when(ok % 149 == 0, text("d MMM yyyy HH:mm"))
+         .when(ok % 151 == 0, text("MM/dd/yyyy HH:mm"))
          .when(ln % 4 == 0, text("yyyy/MM/dd")).when(ln % 4 == 1, text("dd-MM-yyyy"))
          .when(ln % 4 == 2, text("yyyy-MM-dd'T00:00:00Z'")).otherwise(text("yyyy-MM-dd")).alias("date"),
         F.when(F.col("c_nationkey") % 9 == 0, null).otherwise(F.concat(F.lit(" "), F.col("r_name"))).alias("region"),

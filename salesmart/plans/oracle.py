@@ -302,9 +302,13 @@ def number_rule(x: str) -> tuple[str, str, str]:
 def parse_date(x: str) -> str:
     s = strip(x)
     fmts = ["%d-%m-%Y", "%Y/%m/%d", "%d %b %Y", "%Y-%m-%d"]
-    parts = [f"try_strptime({s}, '{f}')" for f in fmts]
+    # First, as %Y alone would read a year 3.
+    parts = [f"CASE WHEN regexp_matches({s}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{2}}$') THEN try_strptime({s}, '%m/%d/%y') END"]
+    parts += [f"try_strptime({s}, '{f}')" for f in fmts]
     parts.append(f"try_strptime(regexp_extract({s}, '^(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})[T ]', 1), '%Y-%m-%d')")
     parts.append(f"try_strptime(regexp_extract({s}, '^(\\d{{4}}/\\d{{1,2}}/\\d{{1,2}})[T ]', 1), '%Y/%m/%d')")
+    for f in ["%b %d, %Y", "%d-%b-%Y", "%Y.%m.%d", "%d %b %Y %H:%M", "%m/%d/%Y %H:%M"]:
+        parts.append(f"try_strptime({s}, '{f}')")
     for f in ["%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d %B %Y", "%b %d %Y", "%B %d %Y", "%Y%m%d"]:
         parts.append(f"try_strptime({s}, '{f}')")
     return f"CAST(coalesce({', '.join(parts)}) AS DATE)"
@@ -343,6 +347,12 @@ SELECT
        WHEN l.l_orderkey % 107 = 0 THEN strftime(CAST(l.l_shipdate + INTERVAL 15 YEAR AS DATE) + INTERVAL 20 YEAR, '%Y-%m-%d')
        WHEN l.l_orderkey % 109 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%d %b %Y')
        WHEN l.l_orderkey % 113 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%m/%d/%Y')
+       WHEN l.l_orderkey % 127 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%b %-d, %Y')
+       WHEN l.l_orderkey % 131 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%d-%b-%Y')
+       WHEN l.l_orderkey % 137 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%-m/%-d/%y')
+       WHEN l.l_orderkey % 139 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y.%m.%d')
+       WHEN l.l_orderkey % 149 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%-d %b %Y') || ' 00:00'
+       WHEN l.l_orderkey % 151 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%m/%d/%Y') || ' 00:00'
        WHEN l.l_linenumber % 4 = 0 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y/%m/%d')
        WHEN l.l_linenumber % 4 = 1 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%d-%m-%Y')
        WHEN l.l_linenumber % 4 = 2 THEN strftime(l.l_shipdate + INTERVAL 15 YEAR, '%Y-%m-%dT00:00:00Z')
