@@ -31,17 +31,20 @@ def count_copies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def extra_copies(groups: DataFrame, cols: Sequence[str]) -> DataFrame:
     """All copies after the first of each group, numbered from 2 (``_copy``).
 
+    With a column ``_before`` (copies met earlier) the numbers go on from there, and all copies of a group met earlier count.
     A group's extra copies are generated in chunks of ``COPIES_PER_TASK``; the
     chunk rows are spread over tasks before they are expanded, so a single
     massively duplicated row does not produce its copies in one task.
     """
     keep = [*cols, *([ORD] if ORD in groups.columns else [])]
-    chunks = (groups.filter(F.col("_n") > 1)
-              .select(*keep, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 2) / COPIES_PER_TASK)))
+    before = F.col("_before") if "_before" in groups.columns else F.lit(0)
+    numbered = groups.select(*keep, F.greatest(before + 1, F.lit(2)).alias("_from"), (before + F.col("_n")).alias("_to"))
+    chunks = (numbered.filter(F.col("_to") >= F.col("_from"))
+              .select(*keep, "_from", "_to", F.explode(F.sequence(F.lit(0), F.floor((F.col("_to") - F.col("_from")) / COPIES_PER_TASK)))
                       .alias("_chunk")))
     spread = chunks.repartition(F.col("_chunk"), *[F.col(c) for c in cols])  # a null or blank first column is no hot key here
-    lo = F.col("_chunk") * COPIES_PER_TASK + 2
-    hi = F.least(F.col("_n"), lo + COPIES_PER_TASK - 1)
+    lo = F.col("_from") + F.col("_chunk") * COPIES_PER_TASK
+    hi = F.least(F.col("_to"), lo + COPIES_PER_TASK - 1)
     return spread.select(*keep, F.explode(F.sequence(lo, hi)).alias("_copy"))
 
 

@@ -29,11 +29,13 @@ from ..functions.numeric import coerce_number
 from ..functions.text import as_py_str, is_in, strip
 from ..schemas import FACT_COLUMNS, RAW_SALES_COLUMNS
 from ..session import delete_folder, scratch_path, write_stage
+from ..streaming.ledger import fact_digest, raw_digest
 from . import dedup as DD
 from .quality import issue_when, log_rows, record_json
 
 ORD = DD.ORD
 RAW = RAW_SALES_COLUMNS
+FACT_KEYS = ["transaction_id", "product_id"]
 
 
 def with_order(df: DataFrame, order_cols=None) -> DataFrame:
@@ -106,9 +108,11 @@ class SalesRun:
     distinct rows with every flag), which the log and the counters share, are
     written as Parquet to the run's own folder below the shared checkpoint
     folder when they are first asked for; ``close`` deletes that folder.
+    With a ``ledger`` (of a stream) rows, pairs and facts of earlier epochs come before all of ``raw``'s.
     """
 
-    def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None, materialize: bool = False):
+    def __init__(self, raw: DataFrame, run_id: str, run_ts: Column, order_cols=None, materialize: bool = False, ledger=None):
+        self.ledger = ledger
         if ORD in raw.columns:
             self.own_order, self.raw = False, raw.select(*RAW, ORD)
         elif order_cols is None:
@@ -132,6 +136,8 @@ class SalesRun:
     @cached_property
     def full_row_groups(self) -> DataFrame:
         g = DD.count_copies(self.raw, RAW)
+        if self.ledger:
+            g = g.withColumn("row", raw_digest()).join(self.ledger.copies(), "row", "left").withColumn("_before", F.coalesce("before", F.lit(0))).drop("before")
         if self.materialize:
             # Both sides of the pair dedup read these rows: write them once to the shared folder.
             g = write_stage(g, "distinct_rows", self.folder)
@@ -139,7 +145,12 @@ class SalesRun:
 
     @cached_property
     def full_row_survivors(self) -> DataFrame:
-        return self.full_row_groups.drop("_n")
+        return self._new_rows.drop("_n", "_before", "row")
+
+    @cached_property
+    def _new_rows(self) -> DataFrame:
+        """The distinct rows that no earlier epoch has met."""
+        return self.full_row_groups.filter("_before = 0") if self.ledger else self.full_row_groups
 
     @cached_property
     def full_row_rejects(self) -> DataFrame:
@@ -148,7 +159,7 @@ class SalesRun:
     # ---- C1 + W2 + C2-C10 on every distinct row, in one frame
     @cached_property
     def annotated(self) -> DataFrame:
-        df = self.full_row_groups.select(F.struct(*RAW).alias("_raw"), ORD, "_n", *RAW)
+        df = self._new_rows.select(F.struct(*RAW).alias("_raw"), ORD, "_n", *RAW)
         txn = clean_txn(F.col("_raw.transaction_id"))
         df = df.withColumn("transaction_id", txn).withColumn("_txn_missing", txn_missing(txn))
         # First position per (cleaned transaction id, raw product id) among rows with an id.
@@ -161,7 +172,12 @@ class SalesRun:
                               "_pair_rows")
         cond = (named["transaction_id"] == right["_k0"]) & named["product_id"].eqNullSafe(right["_k1"])
         j = named.join(right, cond).withColumn("_is_first", F.col(ORD) == F.col("_first"))
-        j = j.drop("_k0", "_k1", "_first", "_pair_rows").unionByName(nameless.withColumn("_is_first", F.lit(False)))
+        j = j.drop("_k0", "_k1", "_first", "_pair_rows")
+        if self.ledger:
+            met = self.ledger.pairs().select(F.col("transaction_id").alias("_k0"), F.col("raw_product_id").alias("_k1"), F.lit(True).alias("_met"))
+            j = j.join(met, (j["transaction_id"] == met["_k0"]) & j["product_id"].eqNullSafe(met["_k1"]), "left")
+            j = j.withColumn("_is_first", F.col("_is_first") & F.col("_met").isNull()).drop("_k0", "_k1", "_met")
+        j = j.unionByName(nameless.withColumn("_is_first", F.lit(False)))
         out = self._with_rules(with_parsed_date(j, F.col("_raw.date")), "_n", "_txn_missing", "_is_first")
         return write_stage(out, "annotated", self.folder) if self.materialize else out
 
@@ -211,6 +227,8 @@ class SalesRun:
 
     @cached_property
     def cleaned(self) -> DataFrame:
+        if self.ledger:
+            return self.annotated.filter("_is_first")
         return self._with_rules(with_parsed_date(self._first_rows, F.col("_raw.date")))
 
     @cached_property
@@ -227,11 +245,18 @@ class SalesRun:
 
     @cached_property
     def fact_distinct(self) -> DataFrame:
-        return DD.count_copies(self._flagged_survivors.select(*FACT_COLUMNS, ORD), FACT_COLUMNS).drop("_n")
+        rows = DD.count_copies(self._flagged_survivors.select(*FACT_COLUMNS, ORD), FACT_COLUMNS).drop("_n")
+        if self.ledger:  # a fact row that an earlier epoch has had is the same row once more
+            rows = rows.withColumn("fact", fact_digest()).join(self.ledger.facts(), ["transaction_id", "product_id", "fact"], "left_anti").select(*rows.columns)
+        return rows
 
     @cached_property
     def fact_key_flagged(self) -> DataFrame:
-        return DD.flag_first(self.fact_distinct, ["transaction_id", "product_id"])
+        flagged = DD.flag_first(self.fact_distinct, FACT_KEYS)
+        if not self.ledger:
+            return flagged
+        met = self.ledger.facts().select(*FACT_KEYS).distinct().withColumn("_met", F.lit(True))
+        return flagged.join(met, FACT_KEYS, "left").withColumn("_is_first", F.col("_is_first") & F.col("_met").isNull()).select(*flagged.columns)
 
     @cached_property
     def fact_key_rejects(self) -> DataFrame:
@@ -241,6 +266,8 @@ class SalesRun:
     def fact_deduped(self) -> DataFrame:
         """W4 then W3 survivors: per key, the values of the first row (one aggregate, no join)."""
         proj = self.cleaned.select(*FACT_COLUMNS, ORD)
+        if self.ledger:
+            proj = proj.join(self.ledger.facts().select(*FACT_KEYS), FACT_KEYS, "left_anti").select(*proj.columns)
         values = [c for c in FACT_COLUMNS if c not in ("transaction_id", "product_id")]
         return DD.first_row_per_key(proj, ["transaction_id", "product_id"], values).select(*FACT_COLUMNS, ORD)
 
@@ -253,6 +280,13 @@ class SalesRun:
             F.col("discount").cast("decimal(5,2)").alias("discount"),
             "region", ORD)
 
+    def record(self) -> None:
+        """Enter this epoch's rows and facts into the ledger."""
+        place = [F.col(f"{ORD}.{c}").alias(c) for c in ("file", "block", "position")]
+        txn = clean_txn(F.col("transaction_id"))
+        rows = self.full_row_groups.select("row", F.col("_n").alias("n"), *place, F.when(~txn_missing(txn), txn).alias("transaction_id"), F.col("product_id").alias("raw_product_id"))
+        self.ledger.record(rows, self.fact_distinct.select(*FACT_KEYS, fact_digest().alias("fact")))
+
     # ---- product extract (C13, W4, W5) and its cast
     @cached_property
     def product_extract(self) -> DataFrame:
@@ -306,7 +340,7 @@ class SalesRun:
         f = F.col("_flags")
         first = F.col("_is_first")
         one = a.agg(
-            F.sum("_n").alias("rows_in"), F.sum(F.col("_n") - 1).alias("full_row_duplicates"),
+            *([] if self.ledger else [F.sum("_n").alias("rows_in"), F.sum(F.col("_n") - 1).alias("full_row_duplicates")]),
             F.count_if("_txn_missing").alias("missing_transaction_id"),
             F.count_if(~F.col("_txn_missing") & ~first).alias("duplicate_transaction_product"),
             F.count_if(first).alias("rows_clean"),
@@ -320,5 +354,7 @@ class SalesRun:
             F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total"))
         k = self.fact_key_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"),
                                       F.count_if("_is_first").alias("fact_rows"))
+        if self.ledger:  # copies of rows that earlier epochs have met count here only
+            one = fold_rows(self.full_row_groups.agg(F.sum("_n").alias("rows_in"), (F.sum("_n") - F.count_if(F.col("_before") == 0)).alias("full_row_duplicates")), one)
         row = fold_rows(one, k)
         return row.select(*[F.col(x).cast("bigint").alias(x) for x in row.columns])
