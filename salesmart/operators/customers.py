@@ -69,8 +69,9 @@ def clean_join_date(c: Column) -> Column:
             .when(F.length(c) >= 10, cut).otherwise(F.lit("19900101")))
 
 
-def clean_columns(df: DataFrame, strict: bool = True) -> DataFrame:
+def clean_columns(df: DataFrame, strict: bool = True, *keep: str) -> DataFrame:
     return df.select(
+        *keep,
         "customer_id",
         clean_name(F.col("customer_name")).alias("customer_name"),
         clean_email(F.col("email")).alias("email"),
@@ -91,8 +92,8 @@ def route(df: DataFrame) -> DataFrame:
                          .otherwise(F.lit("blank_id")))
 
 
-def enforce_schema(df: DataFrame, strict: bool = True) -> DataFrame:
-    """C20: cut to the target widths and cast to int (strict: a bad int fails the run)."""
+def target_columns(strict: bool = True) -> list[Column]:
+    """C20 as columns over a cleaned row: cut to the target widths and cast to int (strict: a bad int fails the run)."""
     def to_int(c: str) -> Column:
         col = F.col(c)
         n = col.try_cast("int")
@@ -101,14 +102,19 @@ def enforce_schema(df: DataFrame, strict: bool = True) -> DataFrame:
                           F.raise_error(F.concat(F.lit(f"{c} is not an integer: "), col))).otherwise(n)
         return F.coalesce(n, F.lit(19900101 if c == "join_date" else 0))
 
-    return df.select(
+    return [
         F.substring("customer_id", 1, 50).alias("customer_id"),
         F.substring("customer_name", 1, 255).alias("customer_name"),
         F.substring("email", 1, 320).alias("email"),
         F.substring("region", 1, 50).alias("region"),
         to_int("join_date").cast("int").alias("join_date"),
         to_int("loyalty_points").cast("int").alias("loyalty_points"),
-    )
+    ]
+
+
+def enforce_schema(df: DataFrame, strict: bool = True) -> DataFrame:
+    """C20 on a frame of cleaned rows."""
+    return df.select(*target_columns(strict))
 
 
 def prepare_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -125,6 +131,28 @@ def blank_id_rejects(raw: DataFrame, strict: bool = True) -> DataFrame:
     return df.filter(~valid_id(F.col("customer_id")))
 
 
+def bad_numbers() -> tuple[Column, Column]:
+    """Whether a raw row's points, and its cut join date, are no integers."""
+    points = F.col("loyalty_points")
+    return (~ssis_blank(points) & points.try_cast("int").isNull(),
+            clean_join_date(F.col("join_date")).try_cast("int").isNull())
+
+
+def routed(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """The whole flow in one frame, to be written once and read by ``route``.
+
+    ``raw`` holds a row as it came, ``clean`` after the column rules, ``target`` in the dimension's types (valid rows only);
+    ``_points_bad`` and ``_join_date_bad`` mark the numbers that lenient mode replaces.
+    """
+    points_bad, jd_bad = bad_numbers()
+    df = dedup_by_id(dedup_full(source_defaults(raw)))
+    df = df.withColumns({"_points_bad": points_bad, "_join_date_bad": jd_bad, "raw": F.struct(*CUSTOMER_COLUMNS)})
+    cleaned = clean_columns(df, strict, "raw", "_points_bad", "_join_date_bad")
+    df = route(cleaned.withColumn("clean", F.struct(*CUSTOMER_COLUMNS)))
+    target = F.when(F.col("route") == "valid", F.struct(*target_columns(strict)))
+    return df.select("raw", "clean", target.alias("target"), "_points_bad", "_join_date_bad", "route")
+
+
 def invalid_numbers(raw: DataFrame) -> DataFrame:
     """Rows kept by the flow whose points or cut join date are not integers (raw values).
 
@@ -132,8 +160,6 @@ def invalid_numbers(raw: DataFrame) -> DataFrame:
     and logs these rows (``_points_bad``, ``_join_date_bad`` say which rule).
     """
     df = dedup_by_id(dedup_full(source_defaults(raw)))
-    points = F.col("loyalty_points")
-    points_bad = ~ssis_blank(points) & points.try_cast("int").isNull()
-    jd_bad = clean_join_date(F.col("join_date")).try_cast("int").isNull()
+    points_bad, jd_bad = bad_numbers()
     return (df.filter(valid_id(F.col("customer_id")) & (points_bad | jd_bad))
             .select(*CUSTOMER_COLUMNS, points_bad.alias("_points_bad"), jd_bad.alias("_join_date_bad")))

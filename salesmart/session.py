@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}salesmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def write_stage(df: DataFrame, name: str, folder: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Cut lineage: write ``df`` as parquet into the shared folder and read it back.
 
     Used for intermediate results that several later passes read; the table
@@ -85,8 +86,8 @@ def write_stage(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     """
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
 
 
 def _hadoop(spark: SparkSession, path: str):

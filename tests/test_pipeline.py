@@ -176,3 +176,42 @@ def test_customer_numbers_strict_fails_lenient_logs(spark):
     assert dim["C9"].loyalty_points == 0 and dim["C9"].join_date == 19900101
     log = spark.read.parquet(out["bad_data_log"]).filter("record_id = 'C9'")
     assert sorted(r.bad_column for r in log.collect()) == ["join_date", "loyalty_points"]
+
+
+def test_the_customer_load_reads_its_input_once(spark, monkeypatch):
+    """Log rows and dimension changes come from the rows written by route; a bad number in strict mode publishes nothing."""
+    import datetime as dt
+    import os
+
+    import pytest
+
+    from salesmart.plans import pipeline as P
+    path = scratch_path(spark, "cust_once")
+    os.makedirs(path.replace("file:", ""))
+    with open(os.path.join(path.replace("file:", ""), "customers.json"), "w") as f:
+        json.dump(CUSTOMERS, f)
+    logs, changes, append_log, upsert = [], [], P.append_log, P.CM.upsert
+    monkeypatch.setattr(P, "append_log", lambda s, log, *a: (logs.append(log.inputFiles()), append_log(s, log, *a))[1])
+
+    def seen(s, root, schema, key, first, make, run=""):
+        changes.append(make(first()).inputFiles())
+        return upsert(s, root, schema, key, first, make, run)
+    monkeypatch.setattr(P.CM, "upsert", seen)
+    root = scratch_path(spark, "mart_once")
+    out = P.load_customers(spark, path, root, dt.datetime(2024, 7, 1))
+    read = logs[0] + changes[0]
+    assert read and not [f for f in read if "cust_once" in f]
+    log = spark.read.parquet(out["bad_data_log"])
+    assert sorted(r.record_id or "" for r in log.collect()) == ["", "  "]
+    dim = spark.read.parquet(out["dim_customer"])
+    assert sorted(r.customer_id for r in dim.collect()) == ["C1", "C2", "C3", "Unknown"]
+    routed = CU.routed(SF.read_customers_json(spark, path))
+    want = sorted(map(tuple, CU.prepare_customers(SF.read_customers_json(spark, path)).collect()))
+    assert sorted(map(tuple, routed.filter("route = 'valid'").select("target.*").collect())) == want
+
+    with open(os.path.join(path.replace("file:", ""), "more.json"), "w") as f:
+        json.dump([{"customer_id": "C9", "customer_name": "Eve", "email": "e@x.org", "region": "North", "join_date": "2024-01-01", "loyalty_points": "abc"}], f)
+    strict_root = scratch_path(spark, "mart_strict")
+    with pytest.raises(Exception, match="not an integer"):
+        P.load_customers(spark, path, strict_root, dt.datetime(2024, 7, 1))
+    assert not os.path.exists(strict_root.replace("file:", ""))
