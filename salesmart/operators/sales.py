@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import constants as K
 from ..functions.dates import date_key_of, parse_sales_date
@@ -107,7 +107,8 @@ class SalesRun:
     With ``materialize=True`` the distinct rows and the annotated frame (all
     distinct rows with every flag), which the log and the counters share, are
     written as Parquet to the run's own folder below the shared checkpoint
-    folder when they are first asked for; ``close`` deletes that folder.
+    folder when they are first asked for; ``close`` deletes that folder.  The annotated frame's
+    counters are observed while it is written, in the write's own tasks, each counted once.
     With a ``ledger`` (of a stream) rows, pairs and facts of earlier epochs come before all of ``raw``'s.
     """
 
@@ -179,7 +180,12 @@ class SalesRun:
             j = j.withColumn("_is_first", F.col("_is_first") & F.col("_met").isNull()).drop("_k0", "_k1", "_met")
         j = j.unionByName(nameless.withColumn("_is_first", F.lit(False)))
         out = self._with_rules(with_parsed_date(j, F.col("_raw.date")), "_n", "_txn_missing", "_is_first")
-        return write_stage(out, "annotated", self.folder) if self.materialize else out
+        if not self.materialize:
+            return out
+        seen = Observation()
+        staged = write_stage(out.observe(seen, *self._counters), "annotated", self.folder)
+        self._observed = seen.get
+        return staged
 
     @staticmethod
     def _with_rules(df: DataFrame, *keep: str) -> DataFrame:
@@ -333,13 +339,12 @@ class SalesRun:
         return w1.unionByName(rows).unionByName(w3)
 
     # ---- counters
-    @cached_property
-    def metrics(self) -> DataFrame:
-        from .quality import fold_rows
-        a = self.annotated
+    @property
+    def _counters(self) -> list[Column]:
+        """Counters of the annotated frame."""
         f = F.col("_flags")
         first = F.col("_is_first")
-        one = a.agg(
+        return [
             *([] if self.ledger else [F.sum("_n").alias("rows_in"), F.sum(F.col("_n") - 1).alias("full_row_duplicates")]),
             F.count_if("_txn_missing").alias("missing_transaction_id"),
             F.count_if(~F.col("_txn_missing") & ~first).alias("duplicate_transaction_product"),
@@ -351,7 +356,17 @@ class SalesRun:
             F.count_if(first & (f.quantity_missing | f.quantity_negative)).alias("quantity_invalid"),
             F.count_if(first & (f.discount_missing | f.discount_negative)).alias("discount_invalid"),
             F.count_if(first & (F.col("region") == K.UNKNOWN)).alias("region_unknown_total"),
-            F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total"))
+            F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total")]
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        from .quality import fold_rows
+        if self.materialize:  # observed while the annotated frame was written
+            self.annotated
+            spark, names = self.raw.sparkSession, list(self._observed)
+            one = spark.createDataFrame([tuple(self._observed.values())], ", ".join(f"{c} long" for c in names))
+        else:
+            one = self.annotated.agg(*self._counters)
         k = self.fact_key_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"),
                                       F.count_if("_is_first").alias("fact_rows"))
         if self.ledger:  # copies of rows that earlier epochs have met count here only

@@ -215,3 +215,24 @@ def test_the_customer_load_reads_its_input_once(spark, monkeypatch):
     with pytest.raises(Exception, match="not an integer"):
         P.load_customers(spark, path, strict_root, dt.datetime(2024, 7, 1))
     assert not os.path.exists(strict_root.replace("file:", ""))
+
+
+def _flat(spark, rows):
+    from salesmart.operators.sales import with_order
+    from salesmart.schemas import RAW_SALES_COLUMNS
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_SALES_COLUMNS))
+    return with_order(df)
+
+
+def test_observed_counters_equal_counted_ones(spark):
+    """The counters observed while the annotated frame is written, against the same aggregate over the frame; empty input too."""
+    from salesmart.operators.sales import SalesRun
+    full = X.raw_sales(spark, SF_SMALL)
+    for raw in (full, _flat(spark, [])):
+        kinds = [SalesRun(raw, "run", F.lit("2024-07-01").cast("timestamp_ntz"), materialize=m) for m in (True, False)]
+        observed, counted = [k.metrics for k in kinds]
+        assert observed.collect() == counted.collect() and observed.columns == counted.columns
+        assert raw is not full or kinds[0]._observed["rows_in"] == full.count()
+        # W3 still reads the frame's fact columns; the flags it does not need are not read again
+        assert "_flags" not in kinds[0].metrics._jdf.queryExecution().executedPlan().toString()
+        kinds[0].close()
