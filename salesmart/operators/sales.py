@@ -99,6 +99,10 @@ def date_rule(raw: Column, parsed: Column | None = None) -> tuple[Column, Column
     return key, missing, invalid
 
 
+def _one_row(spark, counters: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([tuple(counters.values())], ", ".join(f"{c} long" for c in counters))
+
+
 class SalesRun:
     """Stages of one sales load.  ``raw`` has the flat raw columns (all strings).
 
@@ -264,6 +268,13 @@ class SalesRun:
         met = self.ledger.facts().select(*FACT_KEYS).distinct().withColumn("_met", F.lit(True))
         return flagged.join(met, FACT_KEYS, "left").withColumn("_is_first", F.col("_is_first") & F.col("_met").isNull()).select(*flagged.columns)
 
+    def stage_fact_flags(self) -> None:
+        """Write the flagged facts once for a load, whose log, counters and ledger all read them; their counters are observed meanwhile."""
+        seen = Observation()
+        self.fact_key_flagged = write_stage(self.fact_key_flagged.observe(seen, *self._fact_counters), "fact_flags", self.folder)
+        self.fact_distinct = self.fact_key_flagged.drop("_is_first")
+        self._observed_facts = seen.get
+
     @cached_property
     def fact_key_rejects(self) -> DataFrame:
         return self.fact_key_flagged.filter(~F.col("_is_first")).drop("_is_first")
@@ -358,17 +369,17 @@ class SalesRun:
             F.count_if(first & (F.col("region") == K.UNKNOWN)).alias("region_unknown_total"),
             F.count_if(first & (F.col("customer_id") == K.UNKNOWN)).alias("customer_unknown_total")]
 
+    _fact_counters = property(lambda self: [F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"), F.count_if("_is_first").alias("fact_rows")])
+
     @cached_property
     def metrics(self) -> DataFrame:
         from .quality import fold_rows
         if self.materialize:  # observed while the annotated frame was written
             self.annotated
-            spark, names = self.raw.sparkSession, list(self._observed)
-            one = spark.createDataFrame([tuple(self._observed.values())], ", ".join(f"{c} long" for c in names))
+            one = _one_row(self.raw.sparkSession, self._observed)
         else:
             one = self.annotated.agg(*self._counters)
-        k = self.fact_key_flagged.agg(F.count_if(~F.col("_is_first")).alias("duplicate_fact_key"),
-                                      F.count_if("_is_first").alias("fact_rows"))
+        k = _one_row(self.raw.sparkSession, self._observed_facts) if "_observed_facts" in self.__dict__ else self.fact_key_flagged.agg(*self._fact_counters)
         if self.ledger:  # copies of rows that earlier epochs have met count here only
             one = fold_rows(self.full_row_groups.agg(F.sum("_n").alias("rows_in"), (F.sum("_n") - F.count_if(F.col("_before") == 0)).alias("full_row_duplicates")), one)
         row = fold_rows(one, k)
