@@ -26,6 +26,7 @@ def test_query_matches_brute_force(spark, real):
 def test_awkward_rows_and_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_NUMBERS", 64)
     monkeypatch.setattr(topk, "BATCH_NUMBERS", 64)
+    monkeypatch.setattr(topk, "WAVE_BATCHES", 2)
     rng = np.random.default_rng(1)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.2, 6)]) for i in range(300)]
     rows += [(500 + i, rows[50][1]) for i in range(20)] + [(100, rows[3][1]), (100, rows[3][1])]  # ties, repeated ids
@@ -48,3 +49,32 @@ def test_large_components_are_exact(spark):
             scored = sorted((-clamp(sum(a * b for a, b in zip(x, y))), i) for i, y in ints if i != q)
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
     assert got == sorted(want)
+
+
+def test_index_holds_every_posting_once_and_stops_early():
+    rng = np.random.default_rng(4)
+    x = np.floor(256 * rng.normal(0, 0.3, (400, 24)) * (rng.random((400, 24)) < 0.6))
+    x[7] = x[90] = x[300]  # ties
+    x[200:260] *= 40  # a few vectors far above the others
+    index = topk.BlockIndex(x)
+    back, tops = np.zeros_like(x), []
+    for segments, rest in index.levels:
+        for d, vecs, impact in segments:
+            assert len(set(vecs.tolist())) == len(vecs) and not back[vecs, d].any()
+            back[vecs, d] = impact
+            tops.append(int(np.abs(impact).max()).bit_length())
+            assert int(np.abs(impact).min()).bit_length() == tops[-1]
+        assert np.allclose(rest, np.sqrt(((x - back) ** 2).sum(1)))
+    assert (back == x).all() and tops == sorted(tops, reverse=True)
+    q, ids, own = x[::9], rng.permutation(400), np.arange(0, 400, 9)
+    for i, (at, scores) in enumerate(index.top(q, own, 5, ids)):
+        every = sorted((-int(x[j] @ q[i]), int(ids[j])) for j in range(400) if j != own[i])[:5]
+        assert [(-int(s), int(ids[j])) for j, s in zip(at, scores, strict=True)] == every
+    strong = np.zeros((1, 24))
+    strong[0, 0] = 1.0
+    lone = np.zeros((400, 24))
+    lone[:, 0] = np.arange(400) % 2 + 1.0
+    lone[:5, 0] = 1 << 14
+    single = topk.BlockIndex(lone)
+    single.levels[1:] = [(None, r) for _, r in single.levels[1:]]  # would raise if it were added
+    assert sorted(single.top(strong, np.array([-1]), 5, ids)[0][0].tolist()) == [0, 1, 2, 3, 4]
