@@ -1,7 +1,7 @@
 """Keep-first dedup without windows over raw groups.
 
 "First" is the smallest value of an order column (``_ord``): the source
-position for file input, or the row's own columns for the fixtures.  Every
+position for file input (one long in the load jobs), or the row's own columns for the fixtures.  Every
 operator here is a grouped aggregate with map-side partial aggregation, so a
 key holding a third of all rows is reduced on each map task before the
 shuffle; no group is ever collected.  Flagging the non-first rows joins the
@@ -13,7 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+from ..session import write_stage
+from .joins import sized_broadcast
 
 ORD = "_ord"
 # Largest number of duplicate copies generated by one task when logging rejects.
@@ -70,6 +73,30 @@ def flag_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def first_row_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The values of each key's first row, as one aggregate: ``min(struct(_ord, values))``."""
+    """The values of each key's first row.
+
+    A long ``_ord`` is a row's own place, which no other row has: the least place of a key is found by a hash
+    aggregate of keys and places alone, and the rows at these places by a semi join, whose keys are never skewed; ``df``
+    is read twice, so it should be a staged table.  Of any other order it is one aggregate, ``min(struct(_ord, values))``, which sorts.
+    """
+    if isinstance(df.schema[ORD].dataType, T.LongType):
+        first = df.groupBy(*keys).agg(F.min(ORD).alias(ORD)).select(ORD)
+        return df.join(first, ORD, "left_semi").select(*keys, *values, ORD)
     agg = df.groupBy(*keys).agg(F.min(F.struct(F.col(ORD).alias("o"), *[F.col(v) for v in values])).alias("_m"))
     return agg.select(*keys, *[F.col(f"_m.{v}").alias(v) for v in values], F.col("_m.o").alias(ORD))
+
+
+def with_places(df: DataFrame, folder: str) -> DataFrame:
+    """A source order (file, block, position) as one long with the same order, so that its least value is a hash aggregate.
+
+    A block's places start after all of the blocks before it; the blocks' starts are a small table of their own in ``folder``.
+    Any other order, or none, is left as it is.
+    """
+    if ORD not in df.columns or not isinstance(df.schema[ORD].dataType, T.StructType) or df.schema[ORD].dataType.fieldNames() != ["file", "block", "position"]:
+        return df
+    file, block, position = (F.col(f"{ORD}.{c}") for c in ("file", "block", "position"))
+    blocks = df.groupBy(file.alias("_file"), block.alias("_block")).agg((F.max(position) + 1).alias("_n"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = write_stage(blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")), "starts", folder)
+    placed = df.join(sized_broadcast(starts), (file == F.col("_file")) & (block == F.col("_block")))
+    return placed.withColumn(ORD, F.col("_start") + position).drop("_file", "_block", "_start")

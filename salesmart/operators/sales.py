@@ -237,7 +237,7 @@ class SalesRun:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        if self.ledger:
+        if self.ledger or self._staged_facts:
             return self.annotated.filter("_is_first")
         return self._with_rules(with_parsed_date(self._first_rows, F.col("_raw.date")))
 
@@ -268,8 +268,10 @@ class SalesRun:
         met = self.ledger.facts().select(*FACT_KEYS).distinct().withColumn("_met", F.lit(True))
         return flagged.join(met, FACT_KEYS, "left").withColumn("_is_first", F.col("_is_first") & F.col("_met").isNull()).select(*flagged.columns)
 
+    _staged_facts = property(lambda self: "_observed_facts" in self.__dict__)
+
     def stage_fact_flags(self) -> None:
-        """Write the flagged facts once for a load, whose log, counters and ledger all read them; their counters are observed meanwhile."""
+        """Write the flagged facts once for a load, whose facts, log, counters and ledger all read them; their counters are observed meanwhile."""
         seen = Observation()
         self.fact_key_flagged = write_stage(self.fact_key_flagged.observe(seen, *self._fact_counters), "fact_flags", self.folder)
         self.fact_distinct = self.fact_key_flagged.drop("_is_first")
@@ -281,7 +283,9 @@ class SalesRun:
 
     @cached_property
     def fact_deduped(self) -> DataFrame:
-        """W4 then W3 survivors: per key, the values of the first row (one aggregate, no join)."""
+        """W4 then W3 survivors: per key, the values of the first row (one aggregate, no join; none of staged flags)."""
+        if self._staged_facts:
+            return self.fact_key_flagged.filter("_is_first").select(*FACT_COLUMNS, ORD)
         proj = self.cleaned.select(*FACT_COLUMNS, ORD)
         if self.ledger:
             proj = proj.join(self.ledger.facts().select(*FACT_KEYS), FACT_KEYS, "left_anti").select(*proj.columns)
@@ -379,7 +383,7 @@ class SalesRun:
             one = _one_row(self.raw.sparkSession, self._observed)
         else:
             one = self.annotated.agg(*self._counters)
-        k = _one_row(self.raw.sparkSession, self._observed_facts) if "_observed_facts" in self.__dict__ else self.fact_key_flagged.agg(*self._fact_counters)
+        k = _one_row(self.raw.sparkSession, self._observed_facts) if self._staged_facts else self.fact_key_flagged.agg(*self._fact_counters)
         if self.ledger:  # copies of rows that earlier epochs have met count here only
             one = fold_rows(self.full_row_groups.agg(F.sum("_n").alias("rows_in"), (F.sum("_n") - F.count_if(F.col("_before") == 0)).alias("full_row_duplicates")), one)
         row = fold_rows(one, k)
