@@ -71,3 +71,18 @@ def test_small_batch_probes_large_target(spark, monkeypatch):
     assert out.count() == 0
     plan = _plan(out)
     assert "LeftSemi" in plan and "BroadcastExchange" in plan
+
+
+def test_usual_dates_take_few_patterns_and_fused_code_stays_compilable(spark):
+    """A usual date is read apart from the month names and the table of layouts; reading a table bounds the fused code of a stage."""
+    from salesmart.functions.dates import YEAR_FIRST, YEAR_LAST, parse_sales_date
+    values = ["2012-01-05", "2012/1/5", "2012-01-05T00:00:00Z", "2012-01-05 may 6", "05-01-2012", "13-13-2012", "1/13/2012", "13.1.2012", "13.01.2012 10:30",
+              "5 May 2012", "May 5, 74", "5/6/75", "#5 6 2012", "may 5 june 2012", "20120105", "2012-13-01", "2012/01-05", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r.v: (str(r.d) if r.d else None, r.usual) for r in df.select("v", parse_sales_date(F.col("v")).alias("d"), (F.col("v").rlike(YEAR_FIRST) | F.col("v").rlike(YEAR_LAST)).alias("usual")).collect()}
+    assert got == {"2012-01-05": ("2012-01-05", True), "2012/1/5": ("2012-01-05", True), "2012-01-05T00:00:00Z": ("2012-01-05", True), "2012-01-05 may 6": ("2012-01-05", True),
+                   "05-01-2012": ("2012-01-05", True), "13-13-2012": (None, True), "1/13/2012": ("2012-01-13", True), "13.1.2012": ("2012-01-13", True),
+                   "13.01.2012 10:30": ("2012-01-13", False), "5 May 2012": ("2012-05-05", False), "May 5, 74": ("2074-05-05", False), "5/6/75": ("1975-05-06", False),
+                   "#5 6 2012": ("2012-05-06", False), "may 5 june 2012": (None, False), "20120105": ("2012-01-05", False), "2012-13-01": (None, True), "2012/01-05": (None, False), None: (None, None)}
+    X.read_table(spark, SF_SMALL, "region")
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
