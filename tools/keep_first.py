@@ -27,7 +27,7 @@ VALUES = [c for c in RAW if c not in KEYS]
 
 
 def struct(df: DataFrame) -> DataFrame:
-    return DD.first_row_per_key(df, KEYS, VALUES)
+    return DD.first_row_per_key(df, KEYS, VALUES, staged=True)
 
 
 def two_phase(df: DataFrame) -> DataFrame:
