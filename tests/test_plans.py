@@ -86,3 +86,13 @@ def test_usual_dates_take_few_patterns_and_fused_code_stays_compilable(spark):
                    "#5 6 2012": ("2012-05-06", False), "may 5 june 2012": (None, False), "20120105": ("2012-01-05", False), "2012-13-01": (None, True), "2012/01-05": (None, False), None: (None, None)}
     X.read_table(spark, SF_SMALL, "region")
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_rows_of_a_task_are_bounded_by_size_not_by_the_session(spark):
+    """The session's fixed number of partitions would let the rows that one task sorts grow with the facts."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = X.read_table(spark, SF_SMALL, "lineitem", "l_orderkey", "l_partkey")
+    bounded = J.in_bounded_parts(li, "l_orderkey", part_bytes=J.estimated_size(li) // (3 * parts))
+    assert bounded.rdd.getNumPartitions() >= 3 * parts
+    assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, li.collect()))
+    assert J.in_bounded_parts(li, "l_orderkey", part_bytes=1 << 40) is li
