@@ -2,15 +2,22 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from mart_data import SF_SMALL
+from salesmart.operators import joins as J
 from salesmart.operators import sales as SL
 from salesmart.operators.sales import RAW, SalesRun
+from salesmart.plans import fixtures as X
 from salesmart.plans import registry as R
+from salesmart.schemas import FACT_COLUMNS
 from salesmart.session import ensure_checkpoint_dir, scratch_path, write_stage
+from salesmart.sources import files as SF
+from salesmart.sources.files import write_json_arrays
+from salesmart.streaming.ledger import Ledger
 from test_safety import _local, _plan, _rows
 
 TS = "2024-07-01 00:00:00"
@@ -90,3 +97,57 @@ def test_a_report_leaves_no_stage_of_its_run(spark, name):
     df = R.QUERIES[name](spark, SF_SMALL)
     assert df.count() > 0 and df.count() > 0
     assert not {n for n in set(os.listdir(base)) - before if n.startswith("sales-run")}
+
+
+def test_records_dealt_in_passes_give_the_same_files(spark):
+    rows = write_stage(_raw(spark, 120), "rows", scratch_path(spark, "t"))
+    bucket = F.col("_ord") % 7  # null for some rows
+    texts = []
+    for passes in (1, 3):
+        path = write_json_arrays(rows, scratch_path(spark, "arrays"), bucket, [F.col("_ord")], RAW, passes=passes)
+        texts.append({d: sorted(t for f in os.listdir(f"{_local(path)}/{d}") if not f.startswith((".", "_")) for t in [open(f"{_local(path)}/{d}/{f}").read()])
+                      for d in os.listdir(_local(path)) if d.startswith("bucket=")})
+    assert texts[0] == texts[1] and len(texts[0]) == 8
+
+
+def test_input_rows_are_staged_before_they_are_dealt_to_files(spark, monkeypatch):
+    plans = []
+    write = SF.write_json_arrays
+    monkeypatch.setattr(SF, "write_json_arrays", lambda df, *args: plans.append(_plan(df)) or write(df, *args))
+    path = X.sales_files(spark, SF_SMALL, scratch_path(spark, "inbox"))
+    assert "Join" not in plans[0] and SF.read_sales_json(spark, path).count() == X.raw_sales(spark, SF_SMALL).count()
+    assert not [n for n in os.listdir(f"{_local(ensure_checkpoint_dir(spark))}/salesmart") if n.startswith("nested")]
+
+
+def test_customers_are_joined_to_orders_before_lines(spark, monkeypatch):
+    """Where they are too many for a broadcast, lines are shuffled for orders and products only."""
+    monkeypatch.setattr(J.join_dim, "__defaults__", ("inner", 0, None))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(X.raw_sales(spark, SF_SMALL))
+        keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+        assert sorted(keys) == ["c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"], keys
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_an_epoch_is_held_against_a_ledger_of_whole_digests(spark):
+    """Entries that an earlier version has written with 32 bytes a digest are met; a first epoch is joined to no ledger at all."""
+    raw = _raw(spark, 60).withColumn("_ord", F.struct(F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("position")))
+    raw = write_stage(raw, "raw", scratch_path(spark, "t"))
+    root = scratch_path(spark, "mart")
+    first = _run(raw, materialize=True, ledger=Ledger(spark, root, "r", 0), staged=True)
+    clean = first.clean_rows.count()
+    assert clean and "stream_ledger" not in _plan(first.full_row_groups)
+    whole = lambda cols: F.unhex(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
+    rows = first.full_row_groups.withColumn("row", whole(RAW))
+    txn = SL.clean_txn(F.col("transaction_id"))
+    rows = rows.select("row", F.col("_n").alias("n"), "_ord.*", F.when(~SL.txn_missing(txn), txn).alias("transaction_id"), F.col("product_id").alias("raw_product_id"))
+    first.ledger.record(rows, first.fact_distinct.select("transaction_id", "product_id", whole(FACT_COLUMNS).alias("fact")))
+    assert spark.read.parquet(f"{root}/stream_ledger/run=r/rows").select(F.max(F.octet_length("row"))).first()[0] == 32
+    again = _run(raw, materialize=True, ledger=Ledger(spark, root, "r", 1), staged=True)
+    assert again.clean_rows.count() == 0 and again.fact_key_flagged.count() == 0
+    assert again.full_row_rejects.count() == raw.count()
+    again.record()
+    assert spark.read.parquet(f"{root}/stream_ledger/run=r/rows/epoch=000000001").select(F.max(F.octet_length("row"))).first()[0] == 16
